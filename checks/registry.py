@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import oracle as O
-from payscope import FAMILIES, Options, assemble_features, family_features
+from payscope import FAMILIES, Options, assemble_features, family_features, tune
 from payscope.functions import numbers as N
 from payscope.functions import rules as R
 from payscope.functions import text as X
@@ -38,7 +38,7 @@ ORACLE: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def add(query: Query) -> Query:
-        QUERIES[name] = query
+        QUERIES[name] = lambda spark, sf: query(tune(spark), sf)
         if sql is not None:
             ORACLE[name] = sql
         return query
@@ -50,7 +50,7 @@ def over_payments(name: str, sql: str):
     """Registers a query over payments; ``{p}`` in the SQL is the payments CTE."""
 
     def add(query: Callable[[DataFrame], DataFrame]):
-        QUERIES[name] = lambda spark, sf: query(derived.payments(spark, sf))
+        QUERIES[name] = lambda spark, sf: query(derived.payments(tune(spark), sf))
         ORACLE[name] = sql.replace("{p}", "WITH " + O.payments_cte())
         return query
 

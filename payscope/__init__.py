@@ -3,5 +3,6 @@
 from payscope.options import Options
 from payscope.plans.assemble import assemble_features
 from payscope.operators.families import FAMILIES, family_features
+from payscope.session import tune
 
-__all__ = ["FAMILIES", "Options", "assemble_features", "family_features"]
+__all__ = ["FAMILIES", "Options", "assemble_features", "family_features", "tune"]
