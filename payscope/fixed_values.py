@@ -10,6 +10,11 @@ NAME_COMPANY_PATTERN = (
     r"\b(LLC|L\.L\.C|LLP|L\.L\.P|INC\.?|CORP\.?|LTD\.?|LIMITED|COMPANY|CO\.?|GMBH|PLC|S\.A\.?"
     r"|A\.G\.?|N\.V\.?|PVT\. LTD\.?|PTY\. LTD\.?)\b"
 )
+# plain texts of which every match of the pattern contains one
+NAME_COMPANY_NEEDS = (
+    "LLC", "L.L.C", "LLP", "L.L.P", "INC", "LTD", "LIMITED", "CO", "GMBH", "PLC", "S.A", "A.G",
+    "N.V",
+)
 NAME_TEST_LITERALS = (
     "test", "testing", "test test", "john doe", "jane doe", "john smith", "test user", "user test",
     "demo", "sample", "user", "customer", "anonymous", "admin", "administrator",
@@ -27,8 +32,12 @@ ADDRESS_RISK_STATES = ("DELAWARE", "DE", "NEVADA", "NV", "WYOMING", "WY", "SOUTH
 ADDRESS_VIRTUAL_OFFICE_PATTERN = (
     r"\b(regus|virtual|spaces|wework|office suite|intelligent office|suite \d{1,4}[A-Z]?)\b"
 )
+ADDRESS_VIRTUAL_OFFICE_NEEDS = (
+    "regus", "virtual", "spaces", "wework", "suite", "intelligent office",
+)
 ADDRESS_ZIP_PATTERN = r"\b\d{5}(-\d{4})?\b"
 ADDRESS_COMPANY_PATTERN = r"\b(LLC|LLP|INC|INC\.|CORP|CORP\.|LTD|LTD\.|LIMITED|COMPANY)\b"
+ADDRESS_COMPANY_NEEDS = ("LLC", "LLP", "INC", "CORP", "LTD", "LIMITED", "COMPANY")
 
 # --- email ----------------------------------------------------------------------------------
 EMAIL_FORMAT_PATTERN = r"^[^@]+@[^@]+\.[^@]+\z"

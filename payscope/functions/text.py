@@ -70,8 +70,14 @@ class Matcher:
     def __init__(self, mode: str = "search"):
         self.full = mode == "full"
 
-    def regex(self, c: Column, pattern: str) -> Column:
-        return c.rlike(rf"\A(?:{pattern})\z" if self.full else pattern)
+    def regex(self, c: Column, pattern: str, needs: Iterable[str] = ()) -> Column:
+        """Pattern predicate.
+
+        ``needs`` lists plain texts of which every match contains at least one. Texts without any
+        are turned down by substring tests, which cost a small part of a pattern search.
+        """
+        found = c.rlike(rf"\A(?:{pattern})\z" if self.full else pattern)
+        return contains_any(c, needs) & found if needs else found
 
     def cased_like(self, c: Column, cased: Column) -> Column:
         """Non-blank text with an ASCII letter that equals its own upper or lower form."""
@@ -90,4 +96,5 @@ class Matcher:
         words = list(words)
         if self.full:
             return c.isin(words)
-        return c.rlike(r"\b(" + "|".join(re.escape(w).replace(r"\ ", " ") for w in words) + r")\b")
+        pattern = r"\b(" + "|".join(re.escape(w).replace(r"\ ", " ") for w in words) + r")\b"
+        return self.regex(c, pattern, needs=words)

@@ -39,18 +39,23 @@ def _layers(c, match, options):
         "address_too_short": R.flag((c.norm != "") & (c.address_length < 10)),
         "address_too_long": R.flag(c.address_length > 150),
         "too_few_words": R.flag(c.address_word_count < 3),
-        "is_po_box": R.flag(match.regex(c.upper, V.ADDRESS_PO_BOX_PATTERN)),
+        "is_po_box": R.flag(match.regex(c.upper, V.ADDRESS_PO_BOX_PATTERN, ["BOX"])),
         "has_test_address_keyword": R.flag(match.any_word(c.lower, V.ADDRESS_TEST_WORDS)),
-        "is_generic_address": R.flag(match.regex(c.norm, V.ADDRESS_GENERIC_PATTERN)),
+        "is_generic_address": R.flag(match.regex(c.norm, V.ADDRESS_GENERIC_PATTERN, ["MAIN ST"])),
         "has_invalid_chars": R.flag(match.regex(c.norm, V.ADDRESS_INVALID_PATTERN)),
         "all_caps": R.flag(match.cased_like(c.norm, c.upper)),
         "has_high_risk_state": R.flag(match.any_word(c.upper, V.ADDRESS_RISK_STATES)),
-        "potential_virtual_office": R.flag(match.regex(c.lower, V.ADDRESS_VIRTUAL_OFFICE_PATTERN)),
+        "potential_virtual_office": R.flag(
+            match.regex(
+                c.lower, V.ADDRESS_VIRTUAL_OFFICE_PATTERN, V.ADDRESS_VIRTUAL_OFFICE_NEEDS
+            )
+        ),
         "numbers_only": R.flag(match.regex(c.norm, r"^\d+\z")),
         "has_zip_format": R.flag(match.regex(c.norm, V.ADDRESS_ZIP_PATTERN)),
         "has_keyboard_pattern": R.flag(match.any_word(c.lower, V.KEYBOARD_RUNS)),
         "has_numbers_not_business": R.flag(
-            match.regex(c.norm, "[0-9]") & ~match.regex(c.upper, V.ADDRESS_COMPANY_PATTERN)
+            match.regex(c.norm, "[0-9]")
+            & ~match.regex(c.upper, V.ADDRESS_COMPANY_PATTERN, V.ADDRESS_COMPANY_NEEDS)
         ),
         "high_frequency_address": R.flag(c.address_frequency > 10),
     }

@@ -35,7 +35,7 @@ COMBINED: tuple[Family, ...] = (
 
 
 def pick_inputs(payments: DataFrame, names) -> DataFrame:
-    return payments.select([F.col(f"`{n}`") for n in dict.fromkeys(names)])
+    return payments.selectExpr([f"`{n}`" for n in dict.fromkeys(names)])
 
 
 def family_features(
@@ -70,8 +70,8 @@ def family_features(
         rows = rows.withColumns(step) if step else rows
     columns = family.select(rows.columns, final)
     if final and ID not in family.final_outputs:
-        columns = [F.col(ID), *columns]
-    rows = rows.select(columns)
+        columns = [f"`{ID}`", *columns]
+    rows = rows.selectExpr(columns)
     if name == "card" and not options.expose_card_number:
         rows = rows.drop(FULL_NUMBER)
     return by_score(rows, family.score) if ordered and family.score else rows

@@ -55,13 +55,21 @@ class Family:
     def steps(self, options: Options, session: SparkSession) -> list[Layer]:
         return _steps(self, options, session.sparkContext.applicationId)
 
-    def select(self, available: list[str], final: bool = False) -> list[Column]:
+    def select(
+        self, available: list[str], final: bool = False, only_if: str | None = None
+    ) -> list[str]:
+        """Select expressions of the outputs, NULL where ``only_if`` does not hold.
+
+        As text, because several hundred columns built one by one cost seconds of round trips.
+        """
         have = set(available)
         outputs = self.final_outputs if final else self.outputs
-        return [
-            F.col(self.prefix + local if self.prefix + local in have else f"`{local}`").alias(output)
-            for output, local in outputs.items()
-        ]
+        expressions = []
+        for output, local in outputs.items():
+            column = f"`{self.prefix + local if self.prefix + local in have else local}`"
+            value = column if only_if is None else f"IF({only_if}, {column}, NULL)"
+            expressions.append(f"{value} AS `{output}`")
+        return expressions
 
 
 @lru_cache(maxsize=128)

@@ -43,7 +43,7 @@ def _layers(c, match, options):
         "single_word_name": R.flag(c.name_word_count == 1),
         "is_all_caps": R.flag(match.cased_like(c.norm, c.upper)),
         "is_all_lowercase": R.flag(match.cased_like(c.norm, c.lower)),
-        "is_business_entity": R.flag(match.regex(c.upper, V.NAME_COMPANY_PATTERN)),
+        "is_business_entity": R.flag(match.regex(c.upper, V.NAME_COMPANY_PATTERN, V.NAME_COMPANY_NEEDS)),
         "is_test_name": R.flag(c.lower.isin(*V.NAME_TEST_LITERALS)),
         "contains_test_keyword": R.flag(match.any_word(c.lower, V.NAME_TEST_WORDS)),
         "has_special_chars": R.flag(match.regex(c.norm, V.NAME_SPECIAL_PATTERN)),

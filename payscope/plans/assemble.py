@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from payscope.operators import frequency
 from payscope.operators.card import FULL_NUMBER
 from payscope.operators.families import COMBINED, family_features, pick_inputs
-from payscope.operators.geo import join_lookup
+from payscope.operators.geo import GEO, join_lookup
 from payscope.operators.partner import PER_ID
 from payscope.options import Options
 from payscope.sources.schema import ID
@@ -62,16 +62,10 @@ def _single_pass(payments: DataFrame, ruca: DataFrame, options: Options) -> Data
     available = rows.columns
     columns = []
     for family in COMBINED:
-        selected = family.select(available, final=True)
-        if family.name == "geo":
-            # A payment without a ZIP has no location features at all.
-            has_zip = F.col("Zip").isNotNull()
-            selected = [
-                F.when(has_zip, column).alias(output)
-                for column, output in zip(selected, family.final_outputs)
-            ]
-        columns += selected
-    return rows.select(columns)
+        # A payment without a ZIP has no location features at all.
+        condition = "`Zip` IS NOT NULL" if family is GEO else None
+        columns += family.select(available, final=True, only_if=condition)
+    return rows.selectExpr(columns)
 
 
 def _key_stats():
