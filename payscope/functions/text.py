@@ -17,8 +17,12 @@ def coalesce_trim(c: Column) -> Column:
 
 
 def collapse_ws(c: Column) -> Column:
-    """Every run of white space becomes one blank."""
-    return F.regexp_replace(c, r"\s+", " ")
+    """Every run of white space becomes one blank.
+
+    Single blanks already are what they should become; leaving them out of the pattern lets ordinary
+    text through without being rebuilt.
+    """
+    return F.regexp_replace(c, r"\s{2,}|[^\S ]", " ")
 
 
 def strip_nondigit(c: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from payscope.operators import frequency
@@ -72,12 +72,12 @@ def _key_stats():
     return [s for family in COMBINED for s in family.stats if s is not PER_ID]
 
 
-def _once(rows_per_id, partners):
-    """The partner count of an id, or an error if the id is not unique."""
+def _once(rows_per_id: Column, value: Column) -> Column:
+    """The value of an id, or an error if the id is not unique."""
     message = F.concat(
         F.lit("payment id "), F.col(ID), F.lit(" is not unique; use mode='join' for such data")
     )
-    return F.when(rows_per_id == 1, partners).otherwise(F.raise_error(message).cast("long"))
+    return F.when(rows_per_id == 1, value).otherwise(F.raise_error(message).cast("long"))
 
 
 def _stats_on_rows(source: DataFrame, hot_rows: int) -> DataFrame:
@@ -108,8 +108,8 @@ def _stats_by_id(source: DataFrame, hot_rows: int) -> DataFrame:
         narrow.append(found.select(ID, *stats.columns))
     narrow.append(source.select(ID, F.col("Partner").isNotNull().cast("long").alias(PARTNERS_PER_ID)))
     merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), narrow)
+    rows_per_id = F.count(PARTNERS_PER_ID)
     per_id = merged.groupBy(ID).agg(
-        *[F.max(c).alias(c) for c in columns],
-        _once(F.count(PARTNERS_PER_ID), F.sum(PARTNERS_PER_ID)).alias(PARTNERS_PER_ID),
+        *[_once(rows_per_id, F.max(c)).alias(c) for c in (*columns, PARTNERS_PER_ID)]
     )
     return source.join(per_id, ID)
