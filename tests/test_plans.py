@@ -55,6 +55,19 @@ def test_skewed_frequencies_match_a_plain_count(skewed):
         assert all(r.name_frequency == expected[key(r.Payment_CustomerName)] for r in found)
 
 
+def test_number_of_hot_keys_is_bounded(skewed, monkeypatch):
+    """However low hot_rows is, only keys on one row in MAX_HOT_KEYS or more become hot."""
+    plain = family_features(skewed, "name", options=Options(hot_rows=0)).orderBy(ID).collect()
+    monkeypatch.setattr(frequency, "MAX_HOT_KEYS", 4)
+    stats = FAMILIES["name"].stats[0]
+    source = skewed.select(ID, "Payment_CustomerName")
+    limit = frequency.hot_limit(source, 1)
+    hot = stats.stats(source).where(F.col(frequency.ROWS) >= limit).collect()
+    assert sorted(r[frequency.ROWS] for r in hot) == [100, 100]
+    split = family_features(skewed, "name", options=Options(hot_rows=1)).orderBy(ID).collect()
+    assert plain == split
+
+
 @pytest.mark.parametrize("family", ["ip", "channel", "partner", "mcc"])
 def test_split_does_not_change_results(skewed, family):
     plain = family_features(skewed, family, options=Options(hot_rows=0)).orderBy(ID).collect()
@@ -130,6 +143,9 @@ def test_repeated_ids_are_refused_in_single_mode(spark, sf_dir):
         features = assemble_features(payments, ruca, Options(hot_rows=hot_rows))
         with pytest.raises(Exception, match="is not unique"):
             features.agg(F.sum("distinct_partners_per_id")).collect()
+    # The plan for large inputs puts statistics together by id, so each of them is guarded.
+    with pytest.raises(Exception, match="is not unique"):
+        features.agg(F.sum("email_frequency")).collect()
 
 
 def test_combined_table(stored, spark, sf_dir):
