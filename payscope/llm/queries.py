@@ -59,3 +59,39 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from payscope.llm.packing import pack
 
     return pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+OP5_SQL = r"""
+WITH cut AS (
+  SELECT 'd' AS kind, doc_id AS id, text FROM documents
+  UNION ALL SELECT 'i', item_id, text FROM benchmark
+), split AS (
+  SELECT kind, id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM cut
+), windows AS (
+  SELECT DISTINCT id AS item_id, least(len(w), 13) AS m,
+    array_to_string(w[i : i + 12], ' ') AS phrase
+  FROM split, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS r(i) WHERE kind = 'i' AND len(w) > 0
+), sizes AS (SELECT DISTINCT m FROM windows),
+spots AS (
+  SELECT id AS doc_id, m, i, array_to_string(w[i : i + m - 1], ' ') AS phrase
+  FROM split, sizes, unnest(range(1, len(w) - m + 2)) AS r(i) WHERE kind = 'd'
+), found AS (SELECT doc_id, item_id, i, m FROM spots JOIN windows USING (m, phrase)),
+hits AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM found, unnest(range(i, i + m)) AS r(p) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+)
+SELECT id AS doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+  coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM split LEFT JOIN hits ON id = hits.doc_id LEFT JOIN items ON id = items.doc_id WHERE kind = 'd'"""
+
+
+@register("op5_decontaminate", OP5_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from payscope.llm.decontaminate import decontaminate
+
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
