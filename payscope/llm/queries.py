@@ -95,3 +95,35 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from payscope.llm.decontaminate import decontaminate
 
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP4_SQL = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s
+  FROM split, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS r(i) WHERE len(w) > 0
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS MATERIALIZED (
+  SELECT a.doc_id AS x, b.doc_id AS y, any_value(p.n) AS nx, any_value(q.n) AS ny, count(*) AS common
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN sizes p ON p.doc_id = a.doc_id JOIN sizes q ON q.doc_id = b.doc_id GROUP BY a.doc_id, b.doc_id
+), links AS MATERIALIZED (
+  SELECT x, y, common = nx AND nx = ny AS same FROM pairs WHERE 5 * common >= 4 * (nx + ny - common)
+), reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents
+  UNION SELECT reach.x, links.y FROM reach JOIN links ON links.x = reach.y
+)
+SELECT d.doc_id, min(r.y) AS class_id,
+  (SELECT count(*) FROM links WHERE links.x = d.doc_id) AS n_links,
+  (SELECT count(*) FROM links WHERE links.x = d.doc_id AND same) + 1 AS copies
+FROM documents d JOIN reach r ON r.x = d.doc_id GROUP BY d.doc_id"""
+
+
+@register("op4_near_join", OP4_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from payscope.llm.near_join import near_join
+
+    return near_join(table(spark, sf_dir, "documents"))
