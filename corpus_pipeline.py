@@ -1,18 +1,67 @@
-"""A training corpus from ``documents``: five stages, each an operator of ``payscope.llm``."""
+"""A training corpus from ``documents``: five stages, each an operator of ``payscope.llm``.
+
+A stage takes (spark, docs, sf_dir), works on every document that its predecessor kept, and returns the
+columns of ``documents`` for those it keeps; the last returns the packed sequences' pieces.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from payscope.llm.common import scratch, table
+from payscope.llm.decontaminate import decontaminate
+from payscope.llm.exact_dedup import exact_dedup
+from payscope.llm.near_join import near_join
+from payscope.llm.packing import pack
+from payscope.llm.quality import classify
+from payscope.llm.queries import vocabulary
+
+
+def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """Documents whose id is not among ``dropped``; those without an id stay."""
+    return docs.join(dropped.select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not reject."""
+    return _without(docs, classify(docs, table(spark, sf_dir, "labels")).where("rejected"))
+
+
+def copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the largest id of those with one text."""
+    return _without(docs, exact_dedup(docs).where("NOT kept"))
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the least id of each class of linked documents."""
+    return _without(docs, near_join(docs).where("doc_id <> class_id"))
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no more than a trace of the benchmark."""
+    return _without(docs, decontaminate(docs, table(spark, sf_dir, "benchmark")).where("contaminated"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the kept documents and their places in sequences of 1024 tokens."""
+    return pack(docs, vocabulary("byte_bpe_50k.json"))
 
-from payscope.llm.common import scratch
 
-STAGES = []
+STAGES = [
+    ("quality classifier", quality),
+    ("exact dedup", copies),
+    ("near duplicates", near_copies),
+    ("benchmark decontamination", benchmark),
+    ("best-fit packing", packing),
+]
+# Perplexity, MinHash pruning and tokenizing are beyond SQL: tested against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Applies the stages to ``documents``; each one's result is written and read again."""
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = scratch(spark, f"stage-{name.replace(' ', '-')}")
         stage(spark, docs, sf_dir).write.parquet(path)

@@ -127,3 +127,10 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from payscope.llm.near_join import near_join
 
     return near_join(table(spark, sf_dir, "documents"))
+
+
+@register("op10_quality_classifier")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from payscope.llm.quality import classify
+
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
