@@ -25,7 +25,7 @@ def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
-    return _without(docs, classify(docs, table(spark, sf_dir, "labels")).where("rejected"))
+    return classify(docs, table(spark, sf_dir, "labels")).where("NOT __rejected").select(docs.columns)
 
 
 def copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -133,4 +133,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from payscope.llm.quality import classify
 
-    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = classify(docs, table(spark, sf_dir, "labels"))
+    return found.selectExpr(
+        "doc_id", "lang", "exp(__log_perplexity) AS perplexity", "exp(__threshold) AS threshold",
+        "__trusted AS trusted", "__rejected AS rejected",
+    )
