@@ -139,3 +139,36 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "lang", "exp(__log_perplexity) AS perplexity", "exp(__threshold) AS threshold",
         "__trusted AS trusted", "__rejected AS rejected",
     )
+
+
+OP8_SQL = r"""
+WITH split AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), windows AS (
+  SELECT doc_id, i, sha256(array_to_string(w[i : i + 34], ' ')) AS s
+  FROM split, unnest(range(1, len(w) - 33)) AS r(i) WHERE len(w) >= 35
+), again AS (SELECT s FROM windows GROUP BY s HAVING count(*) > 1),
+gone AS (
+  SELECT doc_id, list(DISTINCT p) AS gone
+  FROM windows JOIN again USING (s), unnest(range(i, i + 35)) AS r(p) GROUP BY doc_id
+), kept AS (
+  SELECT split.doc_id, len(w) AS n, coalesce(len(gone), 0) AS n_removed,
+    list_filter(w, lambda x, i: gone IS NULL OR NOT list_contains(gone, i)) AS left_over
+  FROM split LEFT JOIN gone USING (doc_id)
+)
+SELECT doc_id, n AS n_words, n_removed, sha256(array_to_string(left_over, ' ')) AS kept_sha256 FROM kept"""
+
+
+@register("op8_substring_dedup", OP8_SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from payscope.llm.substring_dedup import substring_dedup
+
+    return substring_dedup(table(spark, sf_dir, "documents"))
+
+
+@register("op6_suffix_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from payscope.llm.suffix_dedup import suffix_dedup
+
+    return suffix_dedup(table(spark, sf_dir, "documents"))
