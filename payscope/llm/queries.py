@@ -172,3 +172,31 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from payscope.llm.suffix_dedup import suffix_dedup
 
     return suffix_dedup(table(spark, sf_dir, "documents"))
+
+
+OP3_SQL = r"""
+WITH split AS (SELECT doc_id, source, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+lines AS (
+  SELECT doc_id, source, i, l[i] AS line, trim(l[i]) AS bare FROM split, unnest(range(1, len(l) + 1)) AS r(i)
+), boilerplate AS (
+  SELECT bare FROM lines WHERE bare <> '' GROUP BY bare HAVING count(DISTINCT source) >= 10
+), marked AS (
+  SELECT lines.*, boilerplate.bare IS NOT NULL AS gone FROM lines LEFT JOIN boilerplate USING (bare)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
+  coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') AS text
+FROM marked GROUP BY doc_id"""
+
+
+@register("op3_line_dedup", OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from payscope.llm.line_dedup import line_dedup
+
+    return line_dedup(table(spark, sf_dir, "documents"))
+
+
+@register("op2_surrogates")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from payscope.llm.surrogates import replace_entities
+
+    return replace_entities(table(spark, sf_dir, "documents"), key="a key of your own")
