@@ -29,13 +29,14 @@ from payscope.llm.tokens import encoder
 BLOCK_IDS = 1 << 18
 SLICE_BYTES = 2 << 20
 
-# For each control byte: bytes of its four ids, and for each of 16 output bytes its place or -1.
+# For each control byte: bytes of its four ids, and for each of 16 output bytes its place in the data
+# of the group, counted from 1; bytes that are not stored point far before the zero that stands first.
 _COUNTS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) % 4 + 1
-_TOTAL = _COUNTS.sum(1)
+_TOTAL = _COUNTS.sum(1).astype(np.int32)
 _BEGIN = np.cumsum(_COUNTS, 1) - _COUNTS
 _PLACE = np.where(
-    np.arange(4) < _COUNTS[:, :, None], _BEGIN[:, :, None] + np.arange(4), -1
-).reshape(256, 16)
+    np.arange(4) < _COUNTS[:, :, None], _BEGIN[:, :, None] + np.arange(4) + 1, -(1 << 30)
+).reshape(256, 16).astype(np.int32)
 
 
 def encode(values: np.ndarray) -> tuple[bytes, bytes]:
@@ -52,12 +53,13 @@ def encode(values: np.ndarray) -> tuple[bytes, bytes]:
 def decode(control: bytes, data: bytes, n: int) -> np.ndarray:
     """The ``n`` values behind (control, data). Ids that pad the last control byte have no data."""
     codes = np.frombuffer(control, np.uint8)
-    begin = np.cumsum(_TOTAL[codes]) - _TOTAL[codes]
-    place = _PLACE[codes]
+    total = _TOTAL[codes]
+    begin = np.cumsum(total, dtype=np.int32) - total
     # The padding of the last group points past the end: give it bytes to read.
-    source = np.concatenate([np.frombuffer(data, np.uint8), np.zeros(16, np.uint8)])
-    out = np.where(place < 0, np.uint8(0), source[begin[:, None] + place])
-    return np.ascontiguousarray(out, np.uint8).reshape(-1).view("<u4")[:n]
+    source = np.frombuffer(b"\0" + data + b"\0" * 16, np.uint8)
+    place = _PLACE[codes]
+    place += begin[:, None]
+    return source[np.maximum(place, 0, out=place)].reshape(-1).view("<u4")[:n]
 
 
 _BLOCKS = "shard int, block int, first long, doc_ids array<long>, n_tokens array<int>, {}"
