@@ -288,6 +288,8 @@ def sliced(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch, np.ndar
             for name in ("doc", "begin", "stop"):
                 out[name] = found.field(name).to_numpy()
             out["core"] = found.field("core").to_numpy().view("u8")
+            # One stretch may have been found by its own task and again in its bucket.
+            out = np.unique(out)
         for part in pa.ipc.open_stream(unpack(batch.column("texts")[k].as_py())):
             yield batch.column("slice")[k].as_py(), part, out
 
