@@ -67,13 +67,16 @@ def _select(columns: dict[str, str], wanted, rows: str) -> str:
     return "SELECT " + ", ".join(f'{e} AS "{c}"' for c, e in chosen.items()) + f" FROM {rows}"
 
 
-def payments_cte(wanted=None, duplicates: bool = False) -> str:
+def payments_cte(wanted=None, duplicates: bool = False, null_ids: bool = False) -> str:
     columns = derived.payment_expressions()
     rows = "(SELECT o_orderkey AS k, o_custkey AS c, o_orderdate AS d FROM orders)"
     text = _select(columns, wanted, rows)
     if duplicates:
         columns["Partner"] = "'Second Partner'"
         text += " UNION ALL " + _select(columns, wanted, rows) + " WHERE k IN (1, 2, 3)"
+    if null_ids:
+        columns = {**derived.payment_expressions(), ID: "CAST(NULL AS STRING)"}
+        text += " UNION ALL " + _select(columns, wanted, rows) + " WHERE k IN (4, 5, 6)"
     return f"payments AS ({text})"
 
 
@@ -488,13 +491,13 @@ def partner_rel(rx: Rx) -> str:
         {inside('"Partner"', V.PARTNER_REAL_TIME)} AS real_time_system,
         coalesce(n, 0) AS partner_transaction_count,
         {bit("partner_transaction_count < 10")} AS low_volume_partner,
-        distinct_partners_per_id,
+        coalesce(partners, 0) AS distinct_partners_per_id,
         {bit("distinct_partners_per_id > 1")} AS multiple_partners_same_id
       FROM payments
       LEFT JOIN (SELECT "Partner" AS partner_key, count(*) AS n FROM payments GROUP BY 1)
         ON "Partner" = partner_key
-      JOIN (SELECT "{ID}" AS id_key, count(DISTINCT "Partner") AS distinct_partners_per_id
-            FROM payments GROUP BY 1) ON "{ID}" = id_key
+      LEFT JOIN (SELECT "{ID}" AS id_key, count(DISTINCT "Partner") AS partners
+                 FROM payments GROUP BY 1) ON "{ID}" = id_key
     )"""
 
 
@@ -512,8 +515,9 @@ def geo_rel(rx: Rx) -> str:
       + 9 * {bit('abs("BillingLatitude") > 90 OR abs("BillingLongitude") > 180')}
       + 10 * {bit('abs("BillingLatitude") <= 0.001 AND abs("BillingLongitude") <= 0.001')}
       + 7 * {bit(f"original_zip IN ({names(V.ZIP_DEFAULTS)})")}
-      + 4 - 6 * is_metropolitan_core - 5 * is_metro_commuting - 4 * is_micropolitan
-      - 2 * is_small_town - is_rural
+      + CASE WHEN is_metropolitan_core = 1 THEN -2 WHEN is_metro_commuting = 1 THEN -1
+             WHEN is_micropolitan = 1 THEN 0 WHEN is_small_town = 1 THEN 2
+             WHEN is_rural = 1 THEN 3 ELSE 4 END
       + 5 * high_value_rural_transaction + 6 * state_zip_mismatch AS geo_risk_score
     FROM (
       SELECT "{ID}", "Zip" AS original_zip, {strip.format('"Zip"')} AS zip_5digit,
@@ -600,23 +604,28 @@ RELATIONS = {
 }
 
 
-def family_sql(name: str, outputs, full: bool = False, where: str = "", tail: str = "") -> str:
-    """Statement for one family; ``outputs`` are the columns in order."""
-    ctes = payments_cte()
+def family_sql(
+    name: str, outputs, full: bool = False, where: str = "", tail: str = "", null_ids: bool = False,
+    extra: str = "",
+) -> str:
+    """Statement for one family; ``outputs`` are the columns in order, ``extra`` goes behind them."""
+    ctes = payments_cte(null_ids=null_ids)
     if name == "geo":
         ctes += ", " + ruca_cte()
     if name == "ebpp":
         where = f"WHERE {EBPP} IS NOT NULL"
-    return f"WITH {ctes} SELECT {cols(outputs)} FROM ({RELATIONS[name](Rx(full))}) {where} {tail}"
+    return f"WITH {ctes} SELECT {cols(outputs)}{extra} FROM ({RELATIONS[name](Rx(full))}) {where} {tail}"
 
 
-def combined_sql(families, full=False, duplicates=False, repeated=False, drop=()) -> str:
+def combined_sql(
+    families, full=False, duplicates=False, repeated=False, drop=(), null_ids=False
+) -> str:
     """All families joined by payment id, as separate relations.
 
     ``families`` holds (name, {output: column of the relation}) in output order.
     """
     rx = Rx(full)
-    parts = [payments_cte(duplicates=duplicates), ruca_cte(repeated)]
+    parts = [payments_cte(duplicates=duplicates, null_ids=null_ids), ruca_cte(repeated)]
     select, joins = [], ""
     for i, (name, outputs) in enumerate(families):
         renamed = ", ".join(f'"{c}" AS "{o}"' for o, c in outputs.items() if o != ID)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -22,7 +23,7 @@ from payscope.operators.geo import join_lookup
 from payscope.operators.partner import PER_ID, VOLUME
 from payscope.sources import derived
 from payscope.sources.schema import EBPP_COLUMN, ID, PRICING_COLUMN
-from payscope.sources.tables import read_ruca, scratch_path, write_features
+from payscope.sources.tables import read_payments, read_ruca, scratch_path, write_features
 from payscope import fixed_values as V
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,9 +90,11 @@ _COMBINED_SQL = [
 ]
 
 
-def _combined(options: Options, mode: str, duplicates=False, repeated=False) -> Query:
+def _combined(
+    options: Options, mode: str, duplicates=False, repeated=False, null_ids=False
+) -> Query:
     def query(spark, sf):
-        payments = derived.payments(spark, sf, duplicates)
+        payments = derived.payments(spark, sf, duplicates, null_ids)
         return assemble_features(payments, derived.ruca(spark, sf, repeated), options, mode)
 
     return query
@@ -105,6 +108,19 @@ register("assemble_features_full_match", O.combined_sql(_COMBINED_SQL, full=True
 register("assemble_features_repeated_zip", O.combined_sql(_COMBINED_SQL, repeated=True))(
     _combined(BASE, "single", repeated=True)
 )
+register("assemble_features_null_id", O.combined_sql(_COMBINED_SQL, null_ids=True))(
+    _combined(SPLIT, "single", null_ids=True)
+)
+register("left_join_assemble_null_id", O.combined_sql(_COMBINED_SQL, null_ids=True))(
+    _combined(BASE, "join", null_ids=True)
+)
+register(
+    "partner_features_null_id", O.family_sql("partner", FAMILIES["partner"].outputs, null_ids=True)
+)(
+    lambda spark, sf: family_features(
+        derived.payments(spark, sf, null_ids=True), "partner", options=SPLIT
+    )
+)
 register("assemble_features_masked", O.combined_sql(_COMBINED_SQL, drop=(FULL_NUMBER,)))(
     _combined(Options(as_of=AS_OF), "single")
 )
@@ -114,7 +130,30 @@ register(
 
 # --- sources, sinks, samples, profiles --------------------------------------------------------
 
-over_payments("scan_payments", "{p} SELECT * FROM payments")(lambda p: p)
+_STAMPS = """{p} SELECT * REPLACE (CAST("PaymentDate" AS TIMESTAMP) AS "PaymentDate",
+    CAST("SettledDate" AS TIMESTAMP) AS "SettledDate") FROM payments"""
+
+
+def _declared(payments: DataFrame) -> DataFrame:
+    return payments.withColumns(
+        {c: F.col(c).cast("timestamp") for c in ("PaymentDate", "SettledDate")}
+    )
+
+
+@over_payments("scan_payments", _STAMPS)
+def _scan_payments(p):
+    path = scratch_path(p.sparkSession, "payments")
+    _declared(p).write.parquet(path)
+    return read_payments(p.sparkSession, path)
+
+
+@over_payments("scan_payments_table", _STAMPS)
+def _scan_payments_table(p):
+    table = "payments_" + uuid.uuid4().hex
+    _declared(p).write.saveAsTable(table)
+    return read_payments(p.sparkSession, table=table)
+
+
 register("scan_ruca", f"WITH {O.ruca_cte()} SELECT * FROM ruca")(derived.ruca)
 
 
@@ -132,14 +171,24 @@ def _sink_features(spark, sf):
     return spark.read.parquet(path)
 
 
-over_payments(
-    "sample_rows",
-    f"""{{p}} SELECT * FROM payments
-    WHERE CAST('0x' || md5("{ID}")[:8] AS BIGINT) % 10000 < 200""",
-)(lambda p: profile.sample_rows(p, 0.02))
-register("sample_rows_at_random")(
-    lambda spark, sf: profile.sample_rows_at_random(derived.payments(spark, sf), 0.02, 7)
-)
+@register("sink_features_table", O.combined_sql(_COMBINED_SQL))
+def _sink_features_table(spark, sf):
+    table = "features_" + uuid.uuid4().hex
+    features = _combined(BASE, "single")(spark, sf)
+    write_features(features.limit(1), table=table)
+    write_features(features, table=table)
+    return spark.table(table)
+
+
+def _in_sample(fraction: float) -> str:
+    return f"""CAST('0x' || md5(coalesce("{ID}", ''))[:{profile.HASH_DIGITS}] AS BIGINT)
+        < {profile.sample_limit(fraction)}"""
+
+
+for _name, _fraction in (("sample_rows", 0.02), ("sample_rows_few", 0.003)):
+    over_payments(_name, f"{{p}} SELECT * FROM payments WHERE {_in_sample(_fraction)}")(
+        lambda p, fraction=_fraction: profile.sample_rows(p, fraction)
+    )
 over_payments("preview", f'{{p}} SELECT * FROM payments ORDER BY "{ID}" LIMIT 5')(
     lambda p: profile.preview(p, 5, ID)
 )
@@ -186,8 +235,7 @@ over_payments(
 over_payments(
     "to_frame",
     _profile_sql('count("{}")', "non_null_count").replace(
-        "FROM payments", f"""FROM payments
-        WHERE CAST('0x' || md5("{ID}")[:8] AS BIGINT) % 10000 < 200"""
+        "FROM payments", f"FROM payments WHERE {_in_sample(0.02)}"
     ),
 )(lambda p: profile.profile_schema(profile.sample_rows(p, 0.02)))
 
@@ -217,14 +265,10 @@ over_payments(
 )(lambda p: p.select(ID, f"`{EBPP_COLUMN}`").where(F.col(f"`{EBPP_COLUMN}`").isNotNull()))
 
 
-def _frequency(family: str, column: str):
-    stats = FAMILIES[family].stats[0]
-    inputs = [f"`{c}`" for c in FAMILIES[family].inputs]
-
+def _attached(stats, inputs, column: str):
     def query(p):
-        source = p.select(inputs)
-        hot_rows = frequency.resolve_hot_rows(source, None)
-        found = frequency.attach(source, source, stats, hot_rows)
+        source = p.select([f"`{c}`" for c in inputs])
+        found = frequency.attach(source, source, stats, None)
         return found.select(ID, F.col(stats.columns[0]).alias(column))
 
     return query
@@ -235,7 +279,7 @@ over_payments(
     f"""{{p}} SELECT "{ID}", coalesce(n, 0) AS ip_frequency FROM payments
     LEFT JOIN (SELECT trim("RemoteIP") AS ip, count(*) AS n FROM payments
                WHERE trim("RemoteIP") <> '' GROUP BY 1) ON trim("RemoteIP") = ip""",
-)(_frequency("ip", "ip_frequency"))
+)(_attached(FAMILIES["ip"].stats[0], FAMILIES["ip"].inputs, "ip_frequency"))
 
 
 @over_payments(
@@ -251,8 +295,7 @@ over_payments(
 )
 def _left_join_group(p):
     source = p.select(ID, "PaymentSourceDesc", "CustomerID")
-    hot_rows = frequency.resolve_hot_rows(source, None)
-    found = frequency.attach(source, source, CHANNEL_STATS, hot_rows)
+    found = frequency.attach(source, source, CHANNEL_STATS, None)
     channel = F.upper(X.coalesce_trim(F.col("PaymentSourceDesc")))
     return found.select(
         ID,
@@ -290,16 +333,6 @@ for _key, _dedupe in (("left_join_lookup", False), ("left_join_lookup_deduped",
     )(_lookup(_dedupe))
 
 
-def _attached(stats, inputs, column: str):
-    def query(p):
-        source = p.select(inputs)
-        hot_rows = frequency.resolve_hot_rows(source, None)
-        found = frequency.attach(source, source, stats, hot_rows)
-        return found.select(ID, F.col(stats.columns[0]).alias(column))
-
-    return query
-
-
 over_payments(
     "scalar_subquery_count",
     f"""{{p}} SELECT "{ID}",
@@ -316,6 +349,16 @@ register(
         derived.payments(spark, sf, duplicates=True)
     )
 )
+register(
+    "scalar_subquery_distinct_null_id",
+    f"""WITH {O.payments_cte(null_ids=True)} SELECT "{ID}",
+      (SELECT count(DISTINCT b."Partner") FROM payments b WHERE b."{ID}" = a."{ID}") AS partners
+    FROM payments a""",
+)(
+    lambda spark, sf: _attached(PER_ID, [ID, "Partner"], "partners")(
+        derived.payments(spark, sf, null_ids=True)
+    )
+)
 over_payments(
     "agg_count",
     """{p} SELECT lower(trim("EmailAddress")) AS email_key, count(*) AS email_frequency
@@ -357,10 +400,37 @@ over_payments(
         F.sum(F.coalesce("PaymentAmount", F.lit(0).cast("decimal(18,2)"))).alias("total_amount")
     )
 )
-register(
-    "sort_score",
-    O.family_sql("email", FAMILIES["email"].outputs, tail=f'ORDER BY email_risk_score DESC, "{ID}"'),
-)(_family("email", BASE, ordered=True))
+# The position of a row in the sorted output: partition by partition, row by row.
+def _sorted(name: str) -> Query:
+    def query(spark, sf):
+        path = scratch_path(spark, "sorted")
+        _family(name, BASE, ordered=True)(spark, sf).select(
+            "*", F.spark_partition_id().alias("__part"), F.monotonically_increasing_id().alias("__row")
+        ).write.parquet(path)
+        rows = spark.read.parquet(path)
+        sizes = {r[0]: r[1] for r in rows.groupBy("__part").count().collect()}
+        before, offsets = 0, []
+        for part in sorted(sizes):
+            offsets.append((part, before))
+            before += sizes[part]
+        base = spark.createDataFrame(offsets or [(0, 0)], "__part int, __before long")
+        within = F.col("__row") - F.shiftleft(F.col("__part").cast("long"), 33)
+        return rows.join(F.broadcast(base), "__part").withColumn(
+            "position", F.col("__before") + within + 1
+        ).drop("__part", "__row", "__before")
+
+    return query
+
+
+for _name, _fam in FAMILIES.items():
+    if _fam.score:
+        register(
+            "sort_score" if _name == "email" else f"sort_score_{_name}",
+            O.family_sql(
+                _name, _fam.outputs,
+                extra=f', row_number() OVER (ORDER BY {_fam.score} DESC, "{ID}") AS position',
+            ),
+        )(_sorted(_name))
 register(
     "limit_rows",
     O.family_sql(

@@ -8,7 +8,7 @@ from payscope import fixed_values as V
 from payscope.functions import rules as R
 from payscope.functions import text as X
 from payscope.operators.family import Family, same_names
-from payscope.operators.frequency import KeyStats, count_unless_blank
+from payscope.operators.frequency import KeyStats, unless_blank
 from payscope.sources.schema import ID
 
 SOURCE = "Address1"
@@ -21,7 +21,7 @@ def _norm():
 STATS = KeyStats(
     "address",
     key=lambda: F.upper(_norm()),
-    measures=lambda key: {"__address_address_frequency": count_unless_blank(key)},
+    counted=unless_blank,
     columns=("__address_address_frequency",),
 )
 

@@ -22,7 +22,7 @@ def _clean():
 STATS = KeyStats(
     "card",
     key=lambda: X.strip_nondigit(_clean()),
-    measures=lambda key: {"__card_card_frequency": F.count(F.when(_clean() != "", 1))},
+    counted=lambda key: _clean() != "",
     columns=("__card_card_frequency",),
 )
 

@@ -63,9 +63,8 @@ def family_features(
         rows = join_lookup(rows, ruca, options.dedupe_lookup)
     elif name == "ebpp" and not final:
         rows = rows.where(F.col(f"`{EBPP_COLUMN}`").isNotNull())
-    hot_rows = frequency.resolve_hot_rows(source, options.hot_rows) if family.stats else 0
     for key_stats in family.stats:
-        rows = frequency.attach(rows, source, key_stats, hot_rows)
+        rows = frequency.attach(rows, source, key_stats, options.hot_rows)
     for step in family.steps(options, payments.sparkSession):
         rows = rows.withColumns(step) if step else rows
     columns = family.select(rows.columns, final)

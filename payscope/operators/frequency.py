@@ -2,14 +2,16 @@
 
 A key value can be on a large part of all rows (blank names, one busy channel). A window or a plain
 shuffle join would send all of them to one task. Here the statistics come from an ordinary
-aggregation, which combines on the map side, and the join back is split by the size of the key:
+aggregation, which combines on the map side, and rows meet them in two left joins, alike at every
+size of the input:
 
 * *hot* keys, on at least ``hot_rows`` rows and on at least one row in ``MAX_HOT_KEYS``, meet their
   statistics through a broadcast. At most ``MAX_HOT_KEYS`` such values can exist, so the broadcast is
-  bounded whatever the size of the input; their rows are not shuffled.
-* all *other* keys meet theirs in a shuffle join in which no key is hot.
+  bounded whatever the size of the input;
+* all *other* keys meet theirs in a shuffle join. Rows already met, and rows without a key, enter it
+  under spread-out keys that match nothing.
 
-Every row has exactly one match, so no row is lost or repeated.
+Every row is kept once, whether or not its key or its id is NULL.
 """
 
 from __future__ import annotations
@@ -22,7 +24,6 @@ from pyspark.sql import functions as F
 
 DEFAULT_HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 100_000
-SMALL_INPUT_BYTES = 256 * 1024 * 1024
 ROWS = "__rows"
 
 
@@ -30,8 +31,9 @@ ROWS = "__rows"
 class KeyStats:
     """Statistics per value of a key.
 
-    ``key`` must never be NULL. ``measures`` are aggregates over the rows of a key value; ``build``
-    replaces them where one aggregation is not enough. Measures are never NULL.
+    ``measures`` are aggregates over the rows of a key value; ``build`` replaces them where one
+    aggregation is not enough. ``counted`` tells whether a row counts where the only measure is a
+    count. A row whose key is NULL gets 0. ``spread=False`` is for keys that no value fills.
     """
 
     name: str
@@ -39,6 +41,8 @@ class KeyStats:
     measures: Callable[[Column], dict[str, Column]] | None = None
     build: Callable[[DataFrame, "KeyStats"], DataFrame] | None = None
     columns: tuple[str, ...] = field(default=())
+    counted: Callable[[Column], Column] | None = None
+    spread: bool = True
 
     @property
     def key_column(self) -> str:
@@ -52,55 +56,57 @@ class KeyStats:
         return (
             rows.withColumn(self.key_column, self.key())
             .groupBy(self.key_column)
-            .agg(F.count(F.lit(1)).alias(ROWS), *_aliased(self.measures(key)))
+            .agg(F.count(F.lit(1)).alias(ROWS), *_aliased(self._measures(key)))
         )
 
+    def _measures(self, key: Column) -> dict[str, Column]:
+        if self.counted is not None:
+            return {self.columns[0]: F.count(F.when(self.counted(key), 1))}
+        return self.measures(key)
+
 
 def _aliased(columns: dict[str, Column]) -> list[Column]:
     return [column.alias(name) for name, column in columns.items()]
 
 
-def count_unless_blank(key: Column) -> Column:
-    """Row count of the key, 0 for the blank key."""
-    return F.count(F.when(key != "", 1))
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Size of a frame as Spark's optimizer estimates it from file sizes; None if it cannot say."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    except Exception:  # no JVM behind a remote session
-        return None
-
-
-def resolve_hot_rows(df: DataFrame, hot_rows: int | None) -> int:
-    """0 (no split) for an input known to be small, else the row count that makes a key hot."""
-    if hot_rows is not None:
-        return hot_rows
-    size = estimated_bytes(df)
-    return 0 if size is not None and size <= SMALL_INPUT_BYTES else DEFAULT_HOT_ROWS
+def unless_blank(key: Column) -> Column:
+    return key != ""
 
 
-def hot_limit(source: DataFrame, hot_rows: int) -> Column:
-    """Row count from which a key is hot; the count of the source reads no column."""
-    total = source.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return F.greatest(F.lit(hot_rows), F.ceil(total / MAX_HOT_KEYS))
+def hot_limit(stats: DataFrame, hot_rows: int | None) -> Column:
+    """Row count from which a key is hot. The total comes from the statistics themselves."""
+    total = stats.agg(F.coalesce(F.sum(ROWS), F.lit(0)).alias("n")).scalar()
+    least = DEFAULT_HOT_ROWS if hot_rows is None else max(hot_rows, 1)
+    return F.greatest(F.lit(least).cast("long"), F.ceil(total / MAX_HOT_KEYS))
 
 
-def attach(rows: DataFrame, source: DataFrame, key_stats: KeyStats, hot_rows: int) -> DataFrame:
+def attach(
+    rows: DataFrame, source: DataFrame, key_stats: KeyStats, hot_rows: int | None
+) -> DataFrame:
     """Adds the measures of each row's key value.
 
-    ``source`` holds the rows the statistics are taken over; ``rows`` has the same key values.
-    ``hot_rows=0`` leaves the choice of the join to Spark.
+    ``source`` holds the rows the statistics are taken over. ``hot_rows=0`` turns the split off.
     """
-    key = key_stats.key_column
+    key, measures = key_stats.key_column, list(key_stats.columns)
     stats = key_stats.stats(source)
     keyed = rows.withColumn(key, key_stats.key())
-    if not hot_rows:
-        return keyed.join(stats.drop(ROWS), key).drop(key)
-    limit = hot_limit(source, hot_rows)
-    hot = F.broadcast(stats.where(F.col(ROWS) >= limit).drop(ROWS))
-    others = stats.where(F.col(ROWS) < limit).drop(ROWS)
-    hot_part = keyed.join(hot, key)
-    other_part = keyed.join(hot.select(key), key, "left_anti").join(others, key)
-    return hot_part.unionByName(other_part).drop(key)
+    found = {m: F.coalesce(m, F.lit(0)) for m in measures}
+    if hot_rows == 0 or not key_stats.spread:
+        return keyed.join(stats.drop(ROWS), key, "left").withColumns(found).drop(key)
+    limit = hot_limit(stats, hot_rows)
+    hot = stats.where(F.col(ROWS) >= limit).select(
+        F.col(key).alias("__hot_key"), *[F.col(m).alias(f"__hot{m}") for m in measures]
+    )
+    cold = stats.where(F.col(ROWS) < limit).select(
+        F.col(key).alias("__cold_key"), F.lit(0).cast("long").alias("__cold_side"), *measures
+    )
+    met = keyed.join(F.broadcast(hot), F.col(key) == F.col("__hot_key"), "left").withColumn(
+        "__side",
+        F.when(F.col("__hot_key").isNull() & F.col(key).isNotNull(), F.lit(0).cast("long"))
+        .otherwise(F.xxhash64(*[f"`{c}`" for c in rows.columns]).bitwiseOR(F.lit(1).cast("long"))),
+    )
+    on = (F.col(key) == F.col("__cold_key")) & (F.col("__side") == F.col("__cold_side"))
+    found = {m: F.coalesce(m, f"__hot{m}", F.lit(0)) for m in measures}
+    return met.join(cold, on, "left").withColumns(found).select(
+        *[f"`{c}`" for c in rows.columns], *measures
+    )

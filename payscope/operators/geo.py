@@ -28,17 +28,26 @@ def join_lookup(payments: DataFrame, ruca: DataFrame, dedupe: bool = False) -> D
     shuffles both sides, where the adaptive skew join splits a busy ZIP.
     """
     lookup = ruca.withColumn("ruca_zip_5digit", X.zip5(F.col("ZIP_CODE"))).where(
-        F.col("ruca_zip_5digit").isNotNull()
+        F.col("ruca_zip_5digit") != ""
     )
     if dedupe:
         others = [c for c in LOOKUP if c != "ruca_zip_5digit"]
         first = F.min(F.struct(*others)).alias("first")
         lookup = lookup.groupBy("ruca_zip_5digit").agg(first).select("ruca_zip_5digit", "first.*")
     lookup = lookup.select([F.col(c).alias(name) for c, name in LOOKUP.items()])
-    zip_of_payment = X.zip5(F.col("Zip"))
+    lookup = lookup.withColumn("__geo_side", F.lit(0).cast("long"))
+    located = payments.withColumn("__geo_zip_5digit", X.zip5(F.col("Zip")))
+    # Payments whose ZIP can match nothing enter the join under spread-out sides.
+    can_match = F.col("__geo_zip_5digit") != ""
+    side = F.when(can_match, F.lit(0).cast("long")).otherwise(
+        F.xxhash64(*[f"`{c}`" for c in payments.columns]).bitwiseOR(F.lit(1).cast("long"))
+    )
+    on = (F.col("__geo_zip_5digit") == F.col("__geo_ruca_zip_5digit")) & (
+        F.col("__geo_payment_side") == F.col("__geo_side")
+    )
     return (
-        payments.withColumn("__geo_zip_5digit", zip_of_payment)
-        .join(lookup, F.col("__geo_zip_5digit") == F.col("__geo_ruca_zip_5digit"), "left")
+        located.withColumn("__geo_payment_side", side).join(lookup, on, "left")
+        .drop("__geo_side", "__geo_payment_side")
     )
 
 

@@ -9,7 +9,7 @@ from payscope.functions import rules as R
 from payscope.functions import text as X
 from payscope.functions.numbers import try_to_number
 from payscope.operators.family import Family, same_names
-from payscope.operators.frequency import KeyStats, count_unless_blank
+from payscope.operators.frequency import KeyStats, unless_blank
 from payscope.sources.schema import ID
 
 SOURCE = "RemoteIP"
@@ -22,7 +22,7 @@ def _clean():
 STATS = KeyStats(
     "ip",
     key=_clean,
-    measures=lambda key: {"__ip_ip_frequency": count_unless_blank(key)},
+    counted=unless_blank,
     columns=("__ip_ip_frequency",),
 )
 

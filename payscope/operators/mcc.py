@@ -8,7 +8,7 @@ from payscope import fixed_values as V
 from payscope.functions import rules as R
 from payscope.functions import text as X
 from payscope.operators.family import Family, same_names
-from payscope.operators.frequency import KeyStats, count_unless_blank
+from payscope.operators.frequency import KeyStats, unless_blank
 from payscope.sources.schema import ID
 
 SOURCE = "MCC_DESCRIPTION"
@@ -21,10 +21,11 @@ def _clean():
 
 
 def _measures(key):
+    # In the input's own decimal type: the reader refuses amounts of other types.
     no_amount = F.lit(0).cast("decimal(18,2)")
-    amount = F.coalesce(F.col(AMOUNT).cast("decimal(18,2)"), no_amount)
+    amount = F.coalesce(F.col(AMOUNT), no_amount)
     return {
-        "__mcc_mcc_frequency": count_unless_blank(key),
+        "__mcc_mcc_frequency": F.count(F.when(unless_blank(key), 1)),
         "__mcc_distinct_customers": F.count_distinct(F.when(key != "", F.col(CUSTOMER))),
         "__mcc_total_amount": F.sum(F.when(key != "", amount).otherwise(no_amount)),
     }

@@ -22,7 +22,7 @@ def _norm():
 STATS = KeyStats(
     "name",
     key=lambda: F.upper(_norm()),
-    measures=lambda key: {"__name_name_frequency": F.count(F.lit(1))},
+    counted=lambda key: F.lit(True),
     columns=("__name_name_frequency",),
 )
 

@@ -20,7 +20,7 @@ SOURCE = "Partner"
 VOLUME = KeyStats(
     "partner",
     key=lambda: F.coalesce(F.concat(F.lit("="), F.col(SOURCE)), F.lit("")),
-    measures=lambda key: {"__partner_partner_transaction_count": F.count(SOURCE)},
+    counted=lambda key: F.col(SOURCE).isNotNull(),
     columns=("__partner_partner_transaction_count",),
 )
 PER_ID = KeyStats(
@@ -28,6 +28,7 @@ PER_ID = KeyStats(
     key=lambda: F.col(ID),
     measures=lambda key: {"__partner_distinct_partners_per_id": F.count_distinct(SOURCE)},
     columns=("__partner_distinct_partners_per_id",),
+    spread=False,
 )
 
 

@@ -7,19 +7,24 @@ from pyspark.sql import functions as F
 
 from payscope.sources.schema import ID
 
-SAMPLE_SLICES = 10_000
+HASH_DIGITS = 15
 
 
 def sample_rows(df: DataFrame, fraction: float = 0.02, key: str = ID) -> DataFrame:
-    """A repeatable sample: rows whose key falls into the first slices of a hash.
+    """A repeatable sample: rows whose key has a hash in the lowest part of its 60 bits.
 
-    The choice depends on the key alone, so reruns, retried tasks and other cluster layouts give the
-    same rows.
+    The choice depends on the key alone (NULL counts as blank), so reruns, retried tasks and other
+    cluster layouts give the same rows.
     """
     if not 0 <= fraction <= 1:
         raise ValueError("fraction must lie between 0 and 1")
-    slice_of_key = F.conv(F.left(F.md5(F.col(key)), F.lit(8)), 16, 10).cast("long") % SAMPLE_SLICES
-    return df.where(slice_of_key < int(round(fraction * SAMPLE_SLICES)))
+    digits = F.left(F.md5(F.coalesce(F.col(key), F.lit(""))), F.lit(HASH_DIGITS))
+    return df.where(F.conv(digits, 16, 10).cast("long") < sample_limit(fraction))
+
+
+def sample_limit(fraction: float) -> int:
+    """Hashes below this number are in the sample."""
+    return int(fraction * (1 << 4 * HASH_DIGITS))
 
 
 def sample_rows_at_random(df: DataFrame, fraction: float = 0.02, seed: int = 0) -> DataFrame:

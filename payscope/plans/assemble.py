@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from payscope.operators import frequency
@@ -51,9 +51,8 @@ def _joined(payments: DataFrame, ruca: DataFrame, options: Options) -> DataFrame
 def _single_pass(payments: DataFrame, ruca: DataFrame, options: Options) -> DataFrame:
     wanted = [ID] + [column for family in COMBINED for column in family.inputs]
     source = pick_inputs(payments, wanted)
-    hot_rows = frequency.resolve_hot_rows(source, options.hot_rows)
-    with_stats = _stats_on_rows if hot_rows == 0 else _stats_by_id
-    rows = join_lookup(with_stats(source, hot_rows), ruca, options.dedupe_lookup)
+    rows = _with_stats(source, options.hot_rows)
+    rows = join_lookup(rows, ruca, options.dedupe_lookup)
     # Step by step over all families at once: a few wide projections instead of many.
     steps = [family.steps(options, payments.sparkSession) for family in COMBINED]
     for depth in range(max(map(len, steps))):
@@ -62,54 +61,97 @@ def _single_pass(payments: DataFrame, ruca: DataFrame, options: Options) -> Data
     available = rows.columns
     columns = []
     for family in COMBINED:
-        # A payment without a ZIP has no location features at all.
-        condition = "`Zip` IS NOT NULL" if family is GEO else None
-        columns += family.select(available, final=True, only_if=condition)
+        # A NULL id meets no family, as in a join by id, and a NULL ZIP no location features.
+        condition = f"`{ID}` IS NOT NULL" + (" AND `Zip` IS NOT NULL" if family is GEO else "")
+        columns += family.select(
+            available, final=True, only_if=None if family is COMBINED[0] else condition
+        )
     return rows.selectExpr(columns)
 
 
-def _key_stats():
+def _key_stats() -> list[frequency.KeyStats]:
     return [s for family in COMBINED for s in family.stats if s is not PER_ID]
 
 
-def _once(rows_per_id: Column, value: Column) -> Column:
-    """The value of an id, or an error if the id is not unique."""
-    message = F.concat(
-        F.lit("payment id "), F.col(ID), F.lit(" is not unique; use mode='join' for such data")
-    )
-    return F.when(rows_per_id == 1, value).otherwise(F.raise_error(message).cast("long"))
-
+def _counts(source: DataFrame) -> DataFrame:
+    """kind, key, rows and up to four measures of every key value of every family.
 
-def _stats_on_rows(source: DataFrame, hot_rows: int) -> DataFrame:
-    """Small input: every statistic joins the full row directly."""
-    rows = source
-    for stats in _key_stats():
-        rows = frequency.attach(rows, source, stats, hot_rows)
-    per_id = source.groupBy(ID).agg(
-        F.count(F.lit(1)).alias("__n"), F.count("Partner").alias(PARTNERS_PER_ID)
+    All keys that are only counted go through one aggregation over one scan.
+    """
+    counted = [s for s in _key_stats() if s.counted is not None]
+    keys = F.array(
+        *[
+            F.struct(
+                F.lit(s.name).alias("kind"), s.key().alias("key"),
+                s.counted(s.key()).cast("int").alias("counts"),
+            )
+            for s in counted
+        ]
     )
-    checked = per_id.select(ID, _once(F.col("__n"), F.col(PARTNERS_PER_ID)).alias(PARTNERS_PER_ID))
-    return rows.join(checked, ID)
-
-
-def _stats_by_id(source: DataFrame, hot_rows: int) -> DataFrame:
-    """Large input: the full rows are shuffled once, by id, instead of once per key.
-
-    Each statistic is first found for narrow rows of id and key. Those are put together per id
-    (combined on the map side as far as hot keys go, which are not shuffled before) and joined to
-    the full rows in one step. Payments bucketed by id are not shuffled at all.
+    simple = (
+        source.select(F.explode(keys).alias("k"))
+        .groupBy("k.kind", "k.key")
+        .agg(F.count(F.lit(1)).alias(frequency.ROWS), F.sum("k.counts").alias("m0"))
+    )
+    parts = [simple]
+    for s in _key_stats():
+        if s.counted is None:
+            parts.append(
+                s.stats(source).select(
+                    F.lit(s.name).alias("kind"), F.col(s.key_column).alias("key"), frequency.ROWS,
+                    *[F.col(c).alias(f"m{i}") for i, c in enumerate(s.columns)],
+                )
+            )
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _with_stats(source: DataFrame, hot_rows: int | None) -> DataFrame:
+    """The payments with the statistics of all their keys, and the number of partners per id.
+
+    Hot keys meet theirs on the payment row, by broadcast. Of each payment one narrow record and one
+    for each other key go to the counts and come back by id, where they are put together and meet
+    the full rows; these are shuffled once, or not at all where payments are bucketed by id. The
+    facts are scanned four times: for the counts, for the customers of channels, for the narrow
+    records, and in full.
     """
-    columns = [c for stats in _key_stats() for c in stats.columns]
-    narrow = []
-    for stats in _key_stats():
-        inputs = next(f.inputs for f in COMBINED if stats in f.stats)
-        keys = pick_inputs(source, inputs)
-        found = frequency.attach(keys, keys, stats, hot_rows)
-        narrow.append(found.select(ID, *stats.columns))
-    narrow.append(source.select(ID, F.col("Partner").isNotNull().cast("long").alias(PARTNERS_PER_ID)))
-    merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), narrow)
-    rows_per_id = F.count(PARTNERS_PER_ID)
-    per_id = merged.groupBy(ID).agg(
-        *[_once(rows_per_id, F.max(c)).alias(c) for c in (*columns, PARTNERS_PER_ID)]
+    counts = _counts(source)
+    limit = frequency.hot_limit(counts.where(F.col("kind") == _key_stats()[0].name), hot_rows)
+    measures = [c for c in counts.columns if c.startswith("m")]
+    hot = counts.where(F.col(frequency.ROWS) >= limit).drop(frequency.ROWS)
+    cold = counts.where(F.col(frequency.ROWS) < limit).drop(frequency.ROWS)
+    partner = F.col("Partner").isNotNull().cast("int")
+    keys = F.array(
+        F.struct(F.lit("id").alias("kind"), F.col(ID).alias("key"), partner.alias("partner")),
+        *[
+            F.struct(F.lit(s.name).alias("kind"), s.key().alias("key"), F.lit(0).alias("partner"))
+            for s in _key_stats()
+        ],
+    )
+    records = source.where(F.col(ID).isNotNull()).select(ID, F.inline(keys))
+    records = records.join(F.broadcast(hot.select("kind", "key")), ["kind", "key"], "left_anti")
+    met = records.join(cold, ["kind", "key"], "left")
+    of_kind = {
+        column: F.max(F.when(F.col("kind") == s.name, F.col(f"m{i}")))
+        for s in _key_stats()
+        for i, column in enumerate(s.columns)
+    }
+    per_id = met.groupBy(ID).agg(
+        F.count(F.when(F.col("kind") == "id", 1)).alias("__n"),
+        F.sum("partner").alias(PARTNERS_PER_ID),
+        *[c.alias(name) for name, c in of_kind.items()],
+    )
+    message = F.concat(
+        F.lit("payment id "), F.col(ID), F.lit(" is not unique; use mode='join' for such data")
     )
-    return source.join(per_id, ID)
+    # A filter, so that no choice of columns prunes it.
+    per_id = per_id.where(F.assert_true(F.col("__n") == 1, message).isNull()).drop("__n")
+    rows = source.join(per_id, ID, "left")
+    for s in _key_stats():
+        key = f"__hot_{s.name}"
+        mine = hot.where(F.col("kind") == s.name).select(
+            F.col("key").alias(key), *[F.col(f"m{i}").alias(f"__hot{c}") for i, c in enumerate(s.columns)]
+        )
+        rows = rows.join(F.broadcast(mine), s.key() == F.col(key), "left").withColumns(
+            {c: F.coalesce(c, f"__hot{c}") for c in s.columns}
+        ).drop(key, *[f"__hot{c}" for c in s.columns])
+    return rows

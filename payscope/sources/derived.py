@@ -8,9 +8,9 @@ lists below are plain SQL that Spark and DuckDB read alike, so both sides see th
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from payscope.sources.schema import EBPP_COLUMN, ID, NUMERIC_COLUMNS, PRICING_COLUMN
-from payscope.sources.tables import spread
 
 LONG_NAME = "Maximiliana Wolfeschlegelsteinhausen Bergerdorff the Elder One"
 LONG_ADDRESS = "Building Seven Northern Industrial Park " * 3 + "Behind The Old Mill On The River Side"
@@ -199,20 +199,36 @@ def ruca_expressions() -> dict[str, str]:
     }
 
 
-def payments(spark: SparkSession, sf_dir: str, duplicates: bool = False) -> DataFrame:
-    """One payment per order; ``duplicates`` adds a second copy of three ids with another partner."""
+def payments(
+    spark: SparkSession, sf_dir: str, duplicates: bool = False, null_ids: bool = False
+) -> DataFrame:
+    """One payment per order; ``duplicates`` adds a second copy of three ids with another partner,
+    ``null_ids`` three payments without an id."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr(
         "o_orderkey AS k", "o_custkey AS c", "o_orderdate AS d"
     )
     columns = payment_expressions()
     df = spread(orders, "k").selectExpr([f"{e} AS `{c}`" for c, e in columns.items()])
     if duplicates:
-        columns["Partner"] = "'Second Partner'"
+        second = {**columns, "Partner": "'Second Partner'"}
         copies = orders.where("k IN (1, 2, 3)")
-        df = df.unionByName(copies.selectExpr([f"{e} AS `{c}`" for c, e in columns.items()]))
+        df = df.unionByName(copies.selectExpr([f"{e} AS `{c}`" for c, e in second.items()]))
+    if null_ids:
+        without = {**columns, ID: "CAST(NULL AS STRING)"}
+        more = orders.where("k IN (4, 5, 6)")
+        df = df.unionByName(more.selectExpr([f"{e} AS `{c}`" for c, e in without.items()]))
     return df
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spreads a scan that has fewer splits than the session has cores.
+
+    A small test file is one split, and the feature expressions would run on one core.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, F.col(key)) if df.rdd.getNumPartitions() < cores else df
+
+
 def ruca(spark: SparkSession, sf_dir: str, repeated: bool = False) -> DataFrame:
     """One lookup row per nation; ``repeated`` lists nation 2 twice."""
     nations = spark.read.parquet(f"{sf_dir}/nation.parquet").selectExpr("n_nationkey AS n")

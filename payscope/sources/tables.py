@@ -2,24 +2,42 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from payscope.sources.schema import ID, PAYMENTS, RUCA
 
 
-def read_payments(spark: SparkSession, path: str) -> DataFrame:
-    """Payments from parquet with the declared schema, so no file is opened to infer it."""
-    return spark.read.schema(PAYMENTS).parquet(path)
+def _read(spark: SparkSession, schema: StructType, path: str | None, table: str | None) -> DataFrame:
+    if (table is None) == (path is None):
+        raise ValueError("give either a table or a path")
+    if path is not None:
+        return spark.read.schema(schema).parquet(path)
+    found = spark.table(table)
+    have = dict(found.dtypes)
+    wrong = [
+        f"{f.name} is {have.get(f.name, 'missing')}, not {f.dataType.simpleString()}"
+        for f in schema
+        if have.get(f.name) != f.dataType.simpleString()
+    ]
+    if wrong:
+        raise ValueError(f"table {table}: " + "; ".join(wrong))
+    return found.select([f"`{name}`" for name in schema.fieldNames()])
+
 
+def read_payments(
+    spark: SparkSession, path: str | None = None, table: str | None = None
+) -> DataFrame:
+    """Payments from parquet, with the declared schema so that no file is opened to infer it, or
+    from a table whose columns are checked against it."""
+    return _read(spark, PAYMENTS, path, table)
 
-def read_ruca(spark: SparkSession, path: str) -> DataFrame:
-    """ZIP rurality lookup from parquet with the declared schema."""
-    return spark.read.schema(RUCA).parquet(path)
+
+def read_ruca(spark: SparkSession, path: str | None = None, table: str | None = None) -> DataFrame:
+    """ZIP rurality lookup from parquet or a table, with the declared schema."""
+    return _read(spark, RUCA, path, table)
 
 
 def write_features(
@@ -60,21 +78,9 @@ def write_payments_bucketed(payments: DataFrame, table: str, buckets: int) -> No
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder name below the shared folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only where that is unset (tests on one machine) a local folder is taken.
-    """
+    """A new folder name below the shared folder the cluster names in ``spark.checkpoint.dir``, or
+    below the warehouse where that is unset."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        shared = os.path.join(tempfile.gettempdir(), "payscope")
+        shared = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spreads a scan that has fewer splits than the session has cores.
-
-    A small file is one split, and the feature expressions would run on one core. Large inputs have
-    splits enough and are left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, F.col(key)) if df.rdd.getNumPartitions() < cores else df

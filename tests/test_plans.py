@@ -61,7 +61,7 @@ def test_number_of_hot_keys_is_bounded(skewed, monkeypatch):
     monkeypatch.setattr(frequency, "MAX_HOT_KEYS", 4)
     stats = FAMILIES["name"].stats[0]
     source = skewed.select(ID, "Payment_CustomerName")
-    limit = frequency.hot_limit(source, 1)
+    limit = frequency.hot_limit(stats.stats(source), 1)
     hot = stats.stats(source).where(F.col(frequency.ROWS) >= limit).collect()
     assert sorted(r[frequency.ROWS] for r in hot) == [100, 100]
     split = family_features(skewed, "name", options=Options(hot_rows=1)).orderBy(ID).collect()
@@ -78,7 +78,7 @@ def test_split_does_not_change_results(skewed, family):
 def test_hot_rows_meet_their_statistics_by_broadcast_only(stored):
     plan = plan_text(family_features(stored, "name", options=Options(hot_rows=100)), "formatted")
     assert "BroadcastHashJoin" in plan
-    assert "LeftAnti" in plan
+    assert "LeftAnti" not in plan
 
 
 def test_no_python_and_no_cross_join(stored, spark, sf_dir):
@@ -137,15 +137,57 @@ def test_bucketed_payments_are_not_shuffled(stored, spark, sf_dir, no_broadcast)
     assert _wide_shuffles(plan_text(large, "formatted")) == [BY_ZIP]
 
 
-def test_repeated_ids_are_refused_in_single_mode(spark, sf_dir):
+def test_repeated_ids_are_refused_whatever_is_selected(spark, sf_dir):
     payments, ruca = derived.payments(spark, sf_dir, duplicates=True), derived.ruca(spark, sf_dir)
-    for hot_rows in (0, 100):
-        features = assemble_features(payments, ruca, Options(hot_rows=hot_rows))
+    features = assemble_features(payments, ruca, Options(hot_rows=100))
+    for columns in ([ID], ["pricing_model_other"], ["email_frequency"], ["distinct_partners_per_id"]):
         with pytest.raises(Exception, match="is not unique"):
-            features.agg(F.sum("distinct_partners_per_id")).collect()
-    # The plan for large inputs puts statistics together by id, so each of them is guarded.
-    with pytest.raises(Exception, match="is not unique"):
-        features.agg(F.sum("email_frequency")).collect()
+            features.select(columns).collect()
+
+
+def test_null_ids_are_kept_in_both_modes(make_payments, make_ruca):
+    payments = make_payments(
+        [{ID: None if i % 4 == 0 else f"P{i}", "Partner": "Oracle", "Zip": "90210", "Pricing Model": "Flat"}
+         for i in range(21)]
+    )
+    ruca = make_ruca([("90210", 1, 1.0, "CA")])
+    single = assemble_features(payments, ruca, Options(hot_rows=5))
+    joined = assemble_features(payments, ruca, mode="join")
+    assert single.count() == joined.count() == 21
+    assert Counter(map(tuple, single.collect())) == Counter(map(tuple, joined.collect()))
+    partner = family_features(payments, "partner")
+    assert partner.where(F.col(ID).isNull() & (F.col("distinct_partners_per_id") == 0)).count() == 6
+
+
+def test_facts_are_scanned_four_times(stored, spark, sf_dir, no_broadcast):
+    """As executed, after exchange reuse; the ZIP lookup is not counted."""
+    large = assemble_features(stored, derived.ruca(spark, sf_dir), Options(hot_rows=100))
+    large.collect()
+    plan = plan_text(large, "formatted")
+    ran = plan[plan.index("== Final Plan =="): plan.index("== Initial Plan ==")]
+    scans = {n for n in re.findall(r"Scan parquet\s+\((\d+)\)", ran)}
+    facts = [n for n in scans if "n_nationkey" not in re.search(rf"\n\({n}\) Scan parquet.*?\n\n", plan, re.S).group()]
+    assert len(facts) <= 4
+
+
+def test_tables_are_read_with_checked_types(stored, spark):
+    stored.limit(3).write.mode("overwrite").saveAsTable("typed_payments")
+    assert read_payments(spark, table="typed_payments").count() == 3
+    stored.limit(3).withColumn("PaymentAmount", F.lit(1.5)).drop("Zip").write.mode(
+        "overwrite").saveAsTable("mistyped_payments")
+    with pytest.raises(ValueError, match="Zip is missing.*PaymentAmount is double"):
+        read_payments(spark, table="mistyped_payments")
+    with pytest.raises(ValueError):
+        read_payments(spark)
+
+
+def test_samples_of_any_fraction(spark):
+    from payscope.operators.profile import sample_rows
+
+    ids = spark.range(300_000).select(F.col("id").cast("string").alias(ID))
+    assert 0 < sample_rows(ids, 0.00004).count() < 40
+    some = ids.limit(20).unionByName(spark.createDataFrame([(None,)], f"{ID} string"))
+    assert sample_rows(some, 1.0).count() == 21
 
 
 def test_combined_table(stored, spark, sf_dir):
@@ -199,4 +241,3 @@ def test_unknown_arguments_are_refused(stored):
     with pytest.raises(ValueError):
         Options(match="glob")
     assert isinstance(FAMILIES["name"], Family)
-    assert frequency.resolve_hot_rows(stored, None) == 0
