@@ -73,11 +73,14 @@ def unless_blank(key: Column) -> Column:
     return key != ""
 
 
-def hot_limit(stats: DataFrame, hot_rows: int | None) -> Column:
-    """Row count from which a key is hot. The total comes from the statistics themselves."""
-    total = stats.agg(F.coalesce(F.sum(ROWS), F.lit(0)).alias("n")).scalar()
-    least = DEFAULT_HOT_ROWS if hot_rows is None else max(hot_rows, 1)
-    return F.greatest(F.lit(least).cast("long"), F.ceil(total / MAX_HOT_KEYS))
+def hot_limit(source: DataFrame, hot_rows: int | None) -> Column:
+    """Row count from which a key is hot; the count of the source reads no column."""
+    total = source.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return F.greatest(F.lit(least_hot(hot_rows)).cast("long"), F.ceil(total / MAX_HOT_KEYS))
+
+
+def least_hot(hot_rows: int | None) -> int:
+    return DEFAULT_HOT_ROWS if hot_rows is None else max(hot_rows, 1)
 
 
 def attach(
@@ -93,7 +96,7 @@ def attach(
     found = {m: F.coalesce(m, F.lit(0)) for m in measures}
     if hot_rows == 0 or not key_stats.spread:
         return keyed.join(stats.drop(ROWS), key, "left").withColumns(found).drop(key)
-    limit = hot_limit(stats, hot_rows)
+    limit = hot_limit(source, hot_rows)
     hot = stats.where(F.col(ROWS) >= limit).select(
         F.col(key).alias("__hot_key"), *[F.col(m).alias(f"__hot{m}") for m in measures]
     )

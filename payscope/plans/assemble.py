@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from payscope.operators import frequency
@@ -14,6 +14,7 @@ from payscope.operators.geo import GEO, join_lookup
 from payscope.operators.partner import PER_ID
 from payscope.options import Options
 from payscope.sources.schema import ID
+from payscope.sources.tables import scratch_path
 
 PARTNERS_PER_ID = PER_ID.columns[0]
 
@@ -73,7 +74,12 @@ def _key_stats() -> list[frequency.KeyStats]:
     return [s for family in COMBINED for s in family.stats if s is not PER_ID]
 
 
-def _counts(source: DataFrame) -> DataFrame:
+def _kind_key(stats: frequency.KeyStats) -> Column:
+    """The key of a payment with its family before it, so that all families share one column."""
+    return F.concat(F.lit(f"{stats.name}\0"), stats.key())
+
+
+def key_counts(source: DataFrame) -> DataFrame:
     """kind, key, rows and up to four measures of every key value of every family.
 
     All keys that are only counted go through one aggregation over one scan.
@@ -82,25 +88,22 @@ def _counts(source: DataFrame) -> DataFrame:
     keys = F.array(
         *[
             F.struct(
-                F.lit(s.name).alias("kind"), s.key().alias("key"),
+                F.lit(s.name).alias("kind"), _kind_key(s).alias("key"),
                 s.counted(s.key()).cast("int").alias("counts"),
             )
             for s in counted
         ]
     )
-    simple = (
-        source.select(F.explode(keys).alias("k"))
-        .groupBy("k.kind", "k.key")
-        .agg(F.count(F.lit(1)).alias(frequency.ROWS), F.sum("k.counts").alias("m0"))
-    )
-    parts = [simple]
+    parts = [
+        source.select(F.inline(keys)).groupBy("kind", "key")
+        .agg(F.count(F.lit(1)).alias(frequency.ROWS), F.sum("counts").alias("m0"))
+    ]
     for s in _key_stats():
         if s.counted is None:
+            key = F.concat(F.lit(f"{s.name}\0"), F.col(s.key_column)).alias("key")
+            measures = [F.col(c).alias(f"m{i}") for i, c in enumerate(s.columns)]
             parts.append(
-                s.stats(source).select(
-                    F.lit(s.name).alias("kind"), F.col(s.key_column).alias("key"), frequency.ROWS,
-                    *[F.col(c).alias(f"m{i}") for i, c in enumerate(s.columns)],
-                )
+                s.stats(source).select(F.lit(s.name).alias("kind"), key, frequency.ROWS, *measures)
             )
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
@@ -108,28 +111,35 @@ def _counts(source: DataFrame) -> DataFrame:
 def _with_stats(source: DataFrame, hot_rows: int | None) -> DataFrame:
     """The payments with the statistics of all their keys, and the number of partners per id.
 
-    Hot keys meet theirs on the payment row, by broadcast. Of each payment one narrow record and one
-    for each other key go to the counts and come back by id, where they are put together and meet
-    the full rows; these are shuffled once, or not at all where payments are bucketed by id. The
-    facts are scanned four times: for the counts, for the customers of channels, for the narrow
-    records, and in full.
+    The counts are written to the shared folder once, when the plan is built. Hot keys meet theirs on
+    the payment row, by broadcast. Of each payment one narrow record and one for each other key go
+    to the counts and come back by id, where they are put together and meet the full rows; these
+    are shuffled once, or not at all where payments are bucketed by id. The facts are scanned four
+    times: for the counts, for the customers of channels, for the narrow records, and in full.
     """
-    counts = _counts(source)
-    limit = frequency.hot_limit(counts.where(F.col("kind") == _key_stats()[0].name), hot_rows)
-    measures = [c for c in counts.columns if c.startswith("m")]
+    spark = source.sparkSession
+    path = scratch_path(spark, "key-counts")
+    key_counts(source).write.parquet(path)
+    counts = spark.read.parquet(path)
+    # One row per family.
+    totals = counts.groupBy("kind").agg(F.sum(frequency.ROWS), F.max(frequency.ROWS)).collect()
+    total = max((n for _, n, _ in totals), default=0)
+    limit = max(frequency.least_hot(hot_rows), -(-total // frequency.MAX_HOT_KEYS))
+    has_hot = {kind for kind, _, most in totals if most >= limit}
     hot = counts.where(F.col(frequency.ROWS) >= limit).drop(frequency.ROWS)
-    cold = counts.where(F.col(frequency.ROWS) < limit).drop(frequency.ROWS)
+    cold = counts.where(F.col(frequency.ROWS) < limit).drop(frequency.ROWS, "kind")
     partner = F.col("Partner").isNotNull().cast("int")
     keys = F.array(
         F.struct(F.lit("id").alias("kind"), F.col(ID).alias("key"), partner.alias("partner")),
         *[
-            F.struct(F.lit(s.name).alias("kind"), s.key().alias("key"), F.lit(0).alias("partner"))
+            F.struct(F.lit(s.name).alias("kind"), _kind_key(s).alias("key"), F.lit(0).alias("partner"))
             for s in _key_stats()
         ],
     )
     records = source.where(F.col(ID).isNotNull()).select(ID, F.inline(keys))
-    records = records.join(F.broadcast(hot.select("kind", "key")), ["kind", "key"], "left_anti")
-    met = records.join(cold, ["kind", "key"], "left")
+    if has_hot:
+        records = records.join(F.broadcast(hot.select("key")), "key", "left_anti")
+    met = records.join(cold, "key", "left")
     of_kind = {
         column: F.max(F.when(F.col("kind") == s.name, F.col(f"m{i}")))
         for s in _key_stats()
@@ -147,11 +157,13 @@ def _with_stats(source: DataFrame, hot_rows: int | None) -> DataFrame:
     per_id = per_id.where(F.assert_true(F.col("__n") == 1, message).isNull()).drop("__n")
     rows = source.join(per_id, ID, "left")
     for s in _key_stats():
-        key = f"__hot_{s.name}"
+        if s.name not in has_hot:
+            continue
         mine = hot.where(F.col("kind") == s.name).select(
-            F.col("key").alias(key), *[F.col(f"m{i}").alias(f"__hot{c}") for i, c in enumerate(s.columns)]
+            F.col("key").alias("__hot_key"),
+            *[F.col(f"m{i}").alias(f"__hot{c}") for i, c in enumerate(s.columns)],
         )
-        rows = rows.join(F.broadcast(mine), s.key() == F.col(key), "left").withColumns(
+        rows = rows.join(F.broadcast(mine), _kind_key(s) == F.col("__hot_key"), "left").withColumns(
             {c: F.coalesce(c, f"__hot{c}") for c in s.columns}
-        ).drop(key, *[f"__hot{c}" for c in s.columns])
+        ).drop("__hot_key", *[f"__hot{c}" for c in s.columns])
     return rows

@@ -7,9 +7,12 @@ lists below are plain SQL that Spark and DuckDB read alike, so both sides see th
 
 from __future__ import annotations
 
+from math import gcd
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from payscope import fixed_values as V
 from payscope.sources.schema import EBPP_COLUMN, ID, NUMERIC_COLUMNS, PRICING_COLUMN
 
 LONG_NAME = "Maximiliana Wolfeschlegelsteinhausen Bergerdorff the Elder One"
@@ -120,6 +123,28 @@ TEXT_POOLS = {
     "State": (11, [None, "CA", "NY", "TX"], "'NV'"),
     "DurbinRegulated": (3, [None, "Y"], "'N'"),
 }
+# Every fixed value a feature looks for, so that all of them occur in the derived data.
+FIXED_LISTS = {
+    "Payment_CustomerName": V.NAME_TEST_LITERALS + V.NAME_TEST_WORDS,
+    "Address1": tuple(f"1 {word} Rd, {state}" for word, state in zip(
+        (*V.ADDRESS_TEST_WORDS, "plain"), V.ADDRESS_RISK_STATES)),
+    "EmailAddress": tuple(f"jo.public@{d}" for d in V.EMAIL_FREE_DOMAINS + V.EMAIL_DISPOSABLE_DOMAINS)
+    + tuple(f"{role}@corp.example.org" for role in V.EMAIL_ROLES + V.EMAIL_TEST_WORDS)
+    + tuple(f"office@{word.lower()}.example.org" for word in V.EMAIL_COMPANY_WORDS),
+    "RemoteIP": V.IP_TEST_ADDRESSES,
+    "Cardnumber": V.CARD_TEST_NUMBERS
+    + tuple(f"{start:0<16}" for start in V.CARD_BUSINESS_BINS + V.CARD_BUSINESS_PREFIXES),
+    "PaymentSourceDesc": tuple(n for names in V.CHANNEL_GROUPS.values() for n in names)
+    + V.CHANNEL_BUSINESS + V.CHANNEL_CONSUMER + V.CHANNEL_TEST_WORDS,
+    "MCC_DESCRIPTION": V.MCC_HIGH_RISK + V.MCC_STANDARD + V.MCC_BUSINESS + V.MCC_GOVERNMENT
+    + V.MCC_TEST_TEXTS,
+    "Partner": V.PARTNER_ENTERPRISE + V.PARTNER_MID_TIER + V.PARTNER_CUSTOM + V.PARTNER_MUNICIPAL
+    + V.PARTNER_INSURANCE + V.PARTNER_UTILITY + V.PARTNER_TEST + V.PARTNER_LEGACY + V.PARTNER_MODERN
+    + V.PARTNER_BATCH + V.PARTNER_REAL_TIME,
+    EBPP_COLUMN: V.EBPP_KNOWN + V.EBPP_TIER1 + V.EBPP_TIER2 + V.EBPP_TIER3 + V.EBPP_INHOUSE_TEXTS
+    + V.EBPP_GOVERNMENT_TEXTS + V.EBPP_TEMPORARY_TEXTS,
+    "Zip": V.ZIP_DEFAULTS,
+}
 # Rare values on fixed keys, the same at every scale.
 RARE = {
     "PaymentSourceDesc": ((101, 102, 103), "Kiosk"),
@@ -143,6 +168,14 @@ def sql_text(value: str | None) -> str:
 
 def _pooled(column: str) -> str:
     modulus, pool, otherwise = TEXT_POOLS[column]
+    listed = list(dict.fromkeys(FIXED_LISTS.get(column, ())))
+    if listed:
+        # About half of the keys past the pool; a modulus without common factors meets all keys alike.
+        spread_over = 2 * len(listed) + 1
+        while gcd(spread_over, modulus) > 1:
+            spread_over += 2
+        values = " ".join(f"WHEN {i} THEN {sql_text(v)}" for i, v in enumerate(listed))
+        otherwise = f"CASE k % {spread_over} {values} ELSE {otherwise} END"
     cases = " ".join(f"WHEN {i} THEN {sql_text(v)}" for i, v in enumerate(pool))
     pooled = f"CASE k % {modulus} {cases} ELSE {otherwise} END"
     if column in RARE:

@@ -114,3 +114,22 @@ def test_card_number_is_hidden_by_default(make_payments):
     assert "full_card_number" not in family_features(payments, "card").columns
     shown = family_features(payments, "card", options=Options(expose_card_number=True))
     assert shown.first().full_card_number == "4111111111111111"
+
+
+def test_every_fixed_value_occurs_in_the_derived_data(spark, sf_dir):
+    """And the lists keep their lengths: a value lost on both sides would go unseen."""
+    from payscope import fixed_values as V
+    from payscope.sources import derived
+
+    payments = derived.payments(spark, sf_dir.replace("sf0.001", "sf0.01"))
+    for column, values in derived.FIXED_LISTS.items():
+        have = {r[0] for r in payments.select(f"`{column}`").distinct().collect()}
+        assert not set(values) - have, column
+    assert [
+        len(x) for x in (
+            V.EBPP_KNOWN, V.EBPP_TIER1, V.EBPP_TIER2, V.EBPP_TIER3, V.MCC_HIGH_RISK, V.MCC_STANDARD,
+            V.CARD_BUSINESS_BINS, V.CARD_BUSINESS_PREFIXES, V.CARD_TEST_NUMBERS,
+            V.EMAIL_FREE_DOMAINS, V.EMAIL_DISPOSABLE_DOMAINS, V.CHANNEL_BUSINESS, V.CHANNEL_CONSUMER,
+            V.PARTNER_ENTERPRISE, V.PARTNER_MID_TIER, V.NAME_TEST_LITERALS,
+        )
+    ] == [113, 13, 20, 25, 10, 13, 24, 8, 9, 11, 10, 9, 11, 9, 11, 15]

@@ -10,6 +10,7 @@ from payscope import FAMILIES, Options, assemble_features, family_features, tune
 from payscope.operators import frequency
 from payscope.operators.families import top_k
 from payscope.operators.family import Family
+from payscope.plans.assemble import key_counts
 from payscope.sources import derived
 from payscope.sources.schema import ID
 from payscope.sources.tables import (
@@ -61,7 +62,7 @@ def test_number_of_hot_keys_is_bounded(skewed, monkeypatch):
     monkeypatch.setattr(frequency, "MAX_HOT_KEYS", 4)
     stats = FAMILIES["name"].stats[0]
     source = skewed.select(ID, "Payment_CustomerName")
-    limit = frequency.hot_limit(stats.stats(source), 1)
+    limit = frequency.hot_limit(source, 1)
     hot = stats.stats(source).where(F.col(frequency.ROWS) >= limit).collect()
     assert sorted(r[frequency.ROWS] for r in hot) == [100, 100]
     split = family_features(skewed, "name", options=Options(hot_rows=1)).orderBy(ID).collect()
@@ -147,9 +148,8 @@ def test_repeated_ids_are_refused_whatever_is_selected(spark, sf_dir):
 
 def test_null_ids_are_kept_in_both_modes(make_payments, make_ruca):
     payments = make_payments(
-        [{ID: None if i % 4 == 0 else f"P{i}", "Partner": "Oracle", "Zip": "90210", "Pricing Model": "Flat"}
-         for i in range(21)]
-    )
+        [{"Partner": "Oracle", "Zip": "90210", "Pricing Model": "Flat"} for _ in range(21)]
+    ).withColumn(ID, F.when(~F.col(ID).isin("P0", "P4", "P8", "P12", "P16", "P20"), F.col(ID)))
     ruca = make_ruca([("90210", 1, 1.0, "CA")])
     single = assemble_features(payments, ruca, Options(hot_rows=5))
     joined = assemble_features(payments, ruca, mode="join")
@@ -159,15 +159,30 @@ def test_null_ids_are_kept_in_both_modes(make_payments, make_ruca):
     assert partner.where(F.col(ID).isNull() & (F.col("distinct_partners_per_id") == 0)).count() == 6
 
 
+def _fact_scans(plan: str) -> int:
+    """Scans of payments in a formatted plan, reused exchanges aside."""
+    return len(re.findall(r"ReadSchema: struct<(?!kind|key|__rows|n_nationkey)\w", plan))
+
+
 def test_facts_are_scanned_four_times(stored, spark, sf_dir, no_broadcast):
-    """As executed, after exchange reuse; the ZIP lookup is not counted."""
-    large = assemble_features(stored, derived.ruca(spark, sf_dir), Options(hot_rows=100))
-    large.collect()
-    plan = plan_text(large, "formatted")
-    ran = plan[plan.index("== Final Plan =="): plan.index("== Initial Plan ==")]
-    scans = {n for n in re.findall(r"Scan parquet\s+\((\d+)\)", ran)}
-    facts = [n for n in scans if "n_nationkey" not in re.search(rf"\n\({n}\) Scan parquet.*?\n\n", plan, re.S).group()]
-    assert len(facts) <= 4
+    """Twice for the stored counts of all keys, twice for the rows, with hot keys and without."""
+    counts = key_counts(stored)
+    counts.collect()
+    ran = plan_text(counts, "formatted").split("== Initial Plan ==")[0]
+    # The pairs of channel and customer are scanned and shuffled once, for channels and for groups.
+    tree = ran.split("\n\n")[0]
+    assert len(re.findall(r"Scan parquet\s+\(", tree)) == 2 and "ReusedExchange" in tree
+    for hot_rows in (100, None):
+        large = assemble_features(stored, derived.ruca(spark, sf_dir), Options(hot_rows=hot_rows))
+        assert _fact_scans(plan_text(large, "formatted")) == 2
+
+
+def test_narrow_records(stored):
+    """One record per payment, and one for each key that is not hot."""
+    counts = key_counts(stored)
+    assert counts.groupBy("kind").agg(F.sum(frequency.ROWS).alias("n")).where(
+        F.col("n") != stored.count()).isEmpty()
+    assert counts.groupBy("key").count().where("count > 1").isEmpty()
 
 
 def test_tables_are_read_with_checked_types(stored, spark):
