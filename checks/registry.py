@@ -256,13 +256,33 @@ over_payments(
     "filter_nonblank",
     f'{{p}} SELECT "{ID}", "Address1" FROM payments WHERE trim("Address1") <> \'\'',
 )(lambda p: p.select(ID, "Address1").where(X.coalesce_trim(F.col("Address1")) != ""))
-over_payments(
-    "filter_zip_notnull", f'{{p}} SELECT "{ID}", "Zip" FROM payments WHERE "Zip" IS NOT NULL'
-)(lambda p: p.select(ID, "Zip").where(F.col("Zip").isNotNull()))
+register(
+    "filter_zip_notnull",
+    f'WITH {O.payments_cte()} SELECT "{ID}", "Zip" FROM payments WHERE "Zip" IS NOT NULL',
+)(
+    lambda spark, sf: _family("geo", BASE)(spark, sf).select(ID, F.col("original_zip").alias("Zip"))
+)
 over_payments(
     "filter_ebpp_notnull",
     f'{{p}} SELECT "{ID}", {O.EBPP} FROM payments WHERE {O.EBPP} IS NOT NULL',
-)(lambda p: p.select(ID, f"`{EBPP_COLUMN}`").where(F.col(f"`{EBPP_COLUMN}`").isNotNull()))
+)(
+    lambda p: family_features(p, "ebpp", options=BASE).select(
+        ID, f"`{EBPP_COLUMN}`"
+    )
+)
+
+
+def _key_stats(family: str, key: str, columns: dict[str, str]):
+    """The engine's own statistics per key value, blank ones left out."""
+    stats = FAMILIES[family].stats[0]
+
+    def query(p):
+        found = stats.stats(p.select([f"`{c}`" for c in FAMILIES[family].inputs]))
+        return found.where(F.col(stats.key_column) != "").select(
+            F.col(stats.key_column).alias(key), *[F.col(c).alias(o) for o, c in columns.items()]
+        )
+
+    return query
 
 
 def _attached(stats, inputs, column: str):
@@ -363,26 +383,17 @@ over_payments(
     "agg_count",
     """{p} SELECT lower(trim("EmailAddress")) AS email_key, count(*) AS email_frequency
     FROM payments WHERE trim("EmailAddress") <> '' GROUP BY 1""",
-)(
-    lambda p: p.select(F.lower(X.coalesce_trim(F.col("EmailAddress"))).alias("email_key"))
-    .where(F.col("email_key") != "")
-    .groupBy("email_key")
-    .agg(F.count(F.lit(1)).alias("email_frequency"))
-)
+)(_key_stats("email", "email_key", {"email_frequency": "__email_email_frequency"}))
 over_payments(
     "agg_count_distinct",
     """{p} SELECT upper(trim("PaymentSourceDesc")) AS channel, count(*) AS channel_frequency,
       count(DISTINCT "CustomerID") AS distinct_customers
     FROM payments WHERE trim("PaymentSourceDesc") <> '' GROUP BY 1""",
 )(
-    lambda p: p.select(
-        F.upper(X.coalesce_trim(F.col("PaymentSourceDesc"))).alias("channel"), "CustomerID"
-    )
-    .where(F.col("channel") != "")
-    .groupBy("channel")
-    .agg(
-        F.count(F.lit(1)).alias("channel_frequency"),
-        F.count_distinct("CustomerID").alias("distinct_customers"),
+    _key_stats(
+        "channel", "channel",
+        {"channel_frequency": "__channel_channel_frequency",
+         "distinct_customers": "__channel_distinct_customers"},
     )
 )
 over_payments(
@@ -390,16 +401,9 @@ over_payments(
     """{p} SELECT upper(trim("MCC_DESCRIPTION")) AS mcc,
       CAST(sum(coalesce("PaymentAmount", 0)) AS DECIMAL(28, 2)) AS total_amount
     FROM payments WHERE trim("MCC_DESCRIPTION") <> '' GROUP BY 1""",
-)(
-    lambda p: p.select(
-        F.upper(X.coalesce_trim(F.col("MCC_DESCRIPTION"))).alias("mcc"), "PaymentAmount"
-    )
-    .where(F.col("mcc") != "")
-    .groupBy("mcc")
-    .agg(
-        F.sum(F.coalesce("PaymentAmount", F.lit(0).cast("decimal(18,2)"))).alias("total_amount")
-    )
-)
+)(_key_stats("mcc", "mcc", {"total_amount": "__mcc_total_amount"}))
+
+
 # The position of a row in the sorted output: partition by partition, row by row.
 def _sorted(name: str) -> Query:
     def query(spark, sf):
@@ -439,15 +443,11 @@ register(
 )(lambda spark, sf: top_k(_family("address", BASE)(spark, sf), "address_risk_score", 100))
 
 
-@over_payments(
-    "lateral_alias",
-    f"""{{p}} SELECT "{ID}", CAST(length(coalesce("PaymentSourceDesc", '')) AS INT) AS score,
-      {O.band("score")} AS category FROM payments""",
-)
-def _lateral_alias(p):
-    score = F.length(F.coalesce("PaymentSourceDesc", F.lit(""))).alias("score")
-    category = R.risk_bucket(F.col("score")).alias("category")
-    return p.select(ID, score, category)
+# The band is taken of a score computed in the same row.
+_ALIASED = ("channel_risk_score", "channel_risk_category")
+register("lateral_alias", O.family_sql("channel", (ID, *_ALIASED)))(
+    lambda spark, sf: _family("channel", BASE)(spark, sf).select(ID, *_ALIASED)
+)
 
 
 # --- scalar functions -------------------------------------------------------------------------
