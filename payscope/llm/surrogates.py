@@ -140,11 +140,14 @@ def surrogate(kind: Column, token: Column, attempt: Column, key: str) -> Column:
     card = F.when(_luhn(token) % 10 == 0, F.concat(first, check)).otherwise(
         F.concat(F.substr(token, F.lit(1), F.lit(1)), F.substr(body, F.lit(2), F.length(token)))
     )
+    # A country code stands before the last ten digits and stays.
+    code = F.greatest(F.length(token) - 10, F.lit(0))
+    phone = F.concat(F.substr(token, F.lit(1), code), F.substr(body, code + 1, F.lit(10)))
     iban = F.concat(F.substr(token, F.lit(1), F.lit(2)), F.substr(body, F.lit(3), F.length(token)))
     hexa = F.array_join(F.transform(F.split(token, ""), lambda c, i: _pick(seed, i, list("0123456789abcdef"))), "")
     found = (
         F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card)
-        .when(kind == "iban", iban).when(kind == "secret", hexa)
+        .when(kind == "phone", phone).when(kind == "iban", iban).when(kind == "secret", hexa)
     )
     for gender in ("f", "m"):
         for script, here in (("cyrillic", cyrillic), ("latin", ~cyrillic)):

@@ -140,7 +140,7 @@ def test_surrogates(make_docs, no_docs):
     assert re.fullmatch(" stays, [a-z]{3}@[a-z]\\.[a-z]{7}\\.org goes", text[7])
     lower, upper, phone, short = re.fullmatch(r"Mail (\S+) or (\S+), call (\S+ \S+ \S+) or (.*)\.", text[1]).groups()
     assert upper == lower.upper() and re.fullmatch(r"[a-z]{4}\.[a-z]@[a-z]{4}\d\.[a-z]{7}\.com", lower)
-    assert re.fullmatch(r"\+\d \(\d{3}\) \d{3}-\d{4}", phone) and re.fullmatch(r"\d{3} \d{3} \d{4}", short)
+    assert re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4}", phone) and re.fullmatch(r"\d{3} \d{3} \d{4}", short)
     m = re.fullmatch(r"Mrs (\w+) met ([\w-]+) (\w+) at 10\.\d+\.\d+\.\d+; ([\w-]+) (\w+) came from \S+ with (.*)\.", text[2])
     assert m[1] == m[3] != m[5]  # one surname stays one, two stay two
     names = {g: set(S.GIVEN[g, "latin"].split()) for g in "fm"}
