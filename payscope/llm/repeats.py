@@ -27,7 +27,7 @@ from payscope.llm.common import picked, slices, stored, tasks
 from payscope.llm.hashing import Prefix, mixed
 
 SLICE_BYTES = 1 << 20
-FLUSH_ITEMS, FLUSH_DOCS = 1 << 20, 60_000
+FLUSH_ITEMS, FLUSH_DOCS = 1 << 19, 60_000
 MARK, OPEN = 0, 1
 FOUND = "kind byte, slice long, doc int, begin int, stop int, core long"
 PACKED = "bucket int, docs binary, items binary, found binary"
