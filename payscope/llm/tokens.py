@@ -16,7 +16,7 @@ import numpy as np
 _PIECES = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 _ODD_SPACE = re.compile(r"[^\S \n]")
 # A worker keeps two generations of so many pieces (about 200 bytes each); pieces in use move on.
-CACHE_PIECES = 600_000
+CACHE_PIECES = 450_000
 _ENCODERS: dict[tuple[str, bool], "Encoder"] = {}
 
 
