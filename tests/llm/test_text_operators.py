@@ -102,6 +102,16 @@ def test_quality_on_held_out_labels(spark, sf_dir):
     assert shares[1] < 0.08  # a hundred documents train four languages
 
 
+def test_toxic_recall_next_to_clean_loss(spark, sf_dir):
+    """Good prose with toxic words, and clean documents, that neither model nor threshold has seen."""
+    folder = sf_dir.replace("sf0.001", "sf0.1")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").where("lang = 'en'")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    found = Q.classify(docs, labels.where("doc_id % 2 = 0")).join(labels.where("doc_id % 2 = 1 AND quality = 1"), "doc_id")
+    shares = {r.toxic: r.share for r in found.groupBy("toxic").agg(F.avg(F.col("__rejected").cast("int")).alias("share")).collect()}
+    assert shares[1] > 0.8 and shares[0] < 0.06
+
+
 def test_quality_of_odd_rows(spark, docs, rows, no_docs):
     labels = spark.createDataFrame(
         [(r[0], 1, 0) for r in rows[:50]] + [(None, 1, 0), (1001, None, None), (77_777, 1, 0)], "doc_id long, quality int, toxic int"
