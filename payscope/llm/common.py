@@ -51,6 +51,7 @@ def picked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 HOT_NODES = 1000
+SLICE_ROWS = 1 << 15
 
 
 def spread_join(
@@ -83,14 +84,15 @@ def spread_join(
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
-    """Cuts batches so that the text in ``column`` of one is about ``limit`` bytes; whole rows."""
+    """Cuts batches so that the text in ``column`` of one is about ``limit`` bytes; whole rows, at most
+    ``SLICE_ROWS``."""
     for batch in batches:
         texts = batch.column(column)
         sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
         start, size = 0, 0
         for i, n in enumerate(sizes):
             size += int(n)
-            if size >= limit:
+            if size >= limit or i + 1 - start >= SLICE_ROWS:
                 yield batch.slice(start, i + 1 - start)
                 start, size = i + 1, 0
         if start < batch.num_rows:

@@ -28,11 +28,13 @@ from payscope.llm.hashing import Prefix, mixed
 
 SLICE_BYTES = 1 << 20
 FLUSH_ITEMS, FLUSH_DOCS = 1 << 19, 60_000
+# What a packed item can number: documents, and window starts of one anchor, which are fewer than the width.
+MOST_DOCS, MOST_WIDTH = 1 << 16, 1 << 16
 MARK, OPEN = 0, 1
 FOUND = "kind byte, slice long, doc int, begin int, stop int, core long"
 PACKED = "bucket int, docs binary, items binary, found binary"
 _FOUND = np.dtype([("kind", "i1"), ("slice", "i8"), ("doc", "i4"), ("begin", "i4"), ("stop", "i4"), ("core", "u8")])
-_ITEM = np.dtype([("core", "u8"), ("key", "u8"), ("doc", "u2"), ("begin", "u4"), ("span", "u1")])
+_ITEM = np.dtype([("core", "u8"), ("key", "u8"), ("doc", "u2"), ("begin", "u4"), ("span", "u2")])
 Symbols = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
 
 
@@ -155,6 +157,10 @@ def send(make: Callable, settle: Settling, buckets: int):
 
         for batch in batches:
             for new_docs, items in make(batch):
+                if len(docs) + len(new_docs) > MOST_DOCS:
+                    if docs:
+                        yield from flush()
+                    held, docs = [], []
                 items["doc"] += len(docs)
                 docs.extend(new_docs)
                 held.append(items)

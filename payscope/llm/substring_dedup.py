@@ -71,6 +71,8 @@ def substring_dedup(
     """
     if width < 2:
         raise ValueError("a passage has at least two words")
+    if width > R.MOST_WIDTH:
+        raise ValueError(f"passages longer than {R.MOST_WIDTH} words")
     rows = R.numbered(docs, id_col, text_col)
     marks = repeated_passages(rows, width)
     return R.finish(rows, marks, _report, "n_words long, n_removed long, kept_sha256 string")

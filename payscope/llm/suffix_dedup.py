@@ -74,6 +74,8 @@ def suffix_dedup(
     """
     if width < 32:
         raise ValueError("strings shorter than 32 bytes have no room for triggers")
+    if width > R.MOST_WIDTH:
+        raise ValueError(f"strings longer than {R.MOST_WIDTH} bytes")
     rows = R.numbered(docs, id_col, text_col)
     n = tasks(docs.sparkSession)
     pick = width * 16 // 25

@@ -122,3 +122,42 @@ def test_directory_doubles(docs):
 def test_empty_tables(no_docs):
     for operator in (suffix_dedup, substring_dedup, line_dedup, exact_dedup):
         assert operator(no_docs).count() == 0
+
+
+def test_many_short_documents_and_wide_windows():
+    """A slice that would pass the numbers of packed items, and spans beyond 255."""
+    import numpy as np
+    import pyarrow as pa
+
+    from payscope.llm import repeats as R
+    from payscope.llm.suffix_dedup import byte_symbols
+
+    def make(part):
+        head, n = part
+        items = np.zeros(2, R._ITEM)
+        items["core"], items["key"], items["doc"] = 7, [1, head + 2], [n - 1, n - 2]
+        yield [(head, i, head + i) for i in range(n)], items
+
+    settle = R.Settling(first_stays=True, width=40, opens=False)
+    out = [row for b in R.send(make, settle, 4)([(0, 59_900), (100_000, 6_000), (200_000, 10)]) for row in b.to_pylist()]
+    ends = [(h + n - k) for h, n in ((0, 59_900), (100_000, 6_000), (200_000, 10)) for k in (1, 2)]
+    got = []
+    for row in (r for r in out if r["items"]):
+        docs = R._unpacked_docs(row["docs"])
+        got += docs[2][np.frombuffer(row["items"], R._ITEM)["doc"]].tolist()
+    found = [x for r in out for x in np.frombuffer(r["found"], R._FOUND)]
+    got += [int(x["slice"] + x["doc"]) for x in found]
+    assert sorted(got) == sorted(ends)
+
+    rng = random.Random(3)
+    batch = pa.RecordBatch.from_pydict({"row": [0], "doc_id": [1], "text": ["".join(rng.choices("abcdefgh", k=9000))]})
+    ((_, items),) = R.anchors_of(byte_symbols, 2000, 1280, 8, "phrase")(batch)
+    assert items["span"].max() > 255 and (items["span"].astype(int) + 1).sum() == 9000 - 2000 + 1
+
+
+@pytest.mark.parametrize("width", [600])
+def test_wide(make_docs, rows, width):
+    text = " ".join(f"v{i}" for i in range(900))
+    rows = [*((i, t, "en", "s") for i, t in unique_ids(rows)), (2000, text, "en", "s"), (2001, "x " + text, "en", "s")]
+    found = substring_dedup(make_docs(rows), width).collect()
+    assert Counter(map(tuple, found)) == Counter(words_left([r[:2] for r in rows], width))
