@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -112,6 +113,21 @@ def test_toxic_recall_next_to_clean_loss(spark, sf_dir):
     assert shares[1] > 0.8 and shares[0] < 0.06
 
 
+def test_every_character_counts_as_itself(spark, make_docs):
+    """Scrambled Chinese, Korean and emoji text is less likely than text in the trusted order."""
+    assert len(set(Q.grams(["\u4e00\u4e01\u4e02"])[0])) == 3 and len(set(Q.grams(["\U0001f600\U0001f601"])[0] & 0xFFFF)) == 3
+    rng, docs = random.Random(5), []
+    for lang, first in (("zh", 0x4E00), ("ko", 0xAC00), ("xx", 0x1F600)):
+        words = ["".join(chr(first + rng.randrange(60)) for _ in range(3)) for _ in range(40)]
+        for i in range(200):
+            text = "".join(rng.choices(words, k=100))
+            docs.append((len(docs), "".join(rng.sample(text, len(text))) if i % 10 == 9 else text, lang, "s"))
+    labels = spark.createDataFrame([(d[0], 1, 0) for d in docs if d[0] % 10 != 9], "doc_id long, quality int, toxic int")
+    found = Q.classify(make_docs(docs), labels).collect()
+    assert all(r["__rejected"] for r in found if r.doc_id % 10 == 9)
+    assert sum(r["__rejected"] for r in found) < 60 + 0.1 * 540
+
+
 def test_quality_of_odd_rows(spark, docs, rows, no_docs):
     labels = spark.createDataFrame(
         [(r[0], 1, 0) for r in rows[:50]] + [(None, 1, 0), (1001, None, None), (77_777, 1, 0)], "doc_id long, quality int, toxic int"
