@@ -8,7 +8,9 @@
 3. A surrogate is made of the keyed digest of its token: digits for digits, letters for letters of the
    same script, given names of the same gender and script, valid card and IP numbers.
 4. *Collision checks*: a surrogate that two tokens share, or that is itself a token found in the corpus,
-   is drawn again, until all are distinct.
+   is drawn again, until all are distinct. Names and local parts of addresses grow by a part with each
+   draw. Where the format fixes the space (phone and identity numbers, private IP numbers) and it is
+   too full for that, the tokens of the format are permuted among all of its values by the key.
 5. Each entity takes its tokens' surrogates in its own punctuation and case.
 """
 
@@ -19,7 +21,8 @@ from pyspark.sql import functions as F
 
 from payscope.llm.common import spread_join, stored
 
-ROUNDS = 25
+# Draws before the tokens of a fixed format are permuted; rounds of that permutation.
+DRAWS, MIXES = 8, 8
 
 # Names offered as surrogates, and known as given names.
 GIVEN = {
@@ -117,6 +120,71 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(each, F.lit(0), lambda acc, x: acc + twice(x))
 
 
+def _parts(n: Column, seed: Column, choices: list[str], between: str) -> Column:
+    """n keyed choices; none for n below 1."""
+    at = F.when(n > 0, F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1)).otherwise(F.array().cast("array<int>"))
+    return F.array_join(F.transform(at, lambda i: _pick(seed, i, choices)), between)
+
+
+def _private(octets: Column) -> Column:
+    """How many octets of an IP number say that it is private."""
+    return F.when(octets[0] == "10", 1).when((octets[0] == "192") & (octets[1] == "168"), 2).when(
+        (octets[0] == "172") & octets[1].cast("int").between(16, 31), 2).otherwise(0)
+
+
+def fixed_format(kind: Column, token: Column) -> Column:
+    """The part that all tokens of a format share, with its length; null where the space is not fixed."""
+    octets = F.split(token, r"\.")
+    shared = F.array_join(F.slice(octets, F.lit(1), _private(octets)), ".")
+    code = F.substr(token, F.lit(1), F.greatest(F.length(token) - 10, F.lit(0)))
+    return (
+        F.when(kind == "phone", F.concat_ws("|", code, F.length(token).cast("string")))
+        .when(kind == "id", "").when((kind == "ip") & (_private(octets) > 0), shared)
+    )
+
+
+def permuted(kind: Column, token: Column, key: str) -> Column:
+    """Another value of the token's fixed format: a permutation of all of them without a fixed point.
+
+    The number x of a value goes through alternating keyed sums of its halves, moves on by a keyed
+    step and goes back through the same sums.
+    """
+    octets = F.split(token, r"\.")
+    n_octets = 4 - _private(octets)
+    is_ip = kind == "ip"
+    digits = F.when(kind == "phone", F.least(F.length(token), F.lit(10))).otherwise(F.length(token))
+    octet = lambda k: octets[k].cast("long")
+    low = F.when(is_ip, F.lit(256)).otherwise(F.pow(F.lit(10), F.floor(digits / 2))).cast("long")
+    high = F.when(is_ip, F.when(n_octets == 3, 65536).otherwise(256)).otherwise(
+        F.pow(F.lit(10), digits - F.floor(digits / 2))).cast("long")
+    x = F.when(is_ip, F.when(n_octets == 3, octet(1) * 65536).otherwise(0) + octet(2) * 256 + octet(3)).otherwise(
+        F.substr(token, F.length(token) - digits + 1, digits).cast("long"))
+    space = F.concat_ws("|", F.lit(key), F.lit("format"), kind, fixed_format(kind, token))
+
+    def mixed(number: Column, sign: int) -> Column:
+        order = list(range(MIXES))[::sign]
+
+        def step(acc: Column, k: Column) -> Column:
+            by = lambda half: F.xxhash64(F.sha2(F.concat_ws("|", space, k.cast("string"), half.cast("string")), 256))
+            even = k % 2 == 0
+            return F.struct(
+                F.when(even, F.pmod(acc["hi"] + sign * F.pmod(by(acc["lo"]), high), high)).otherwise(acc["hi"]).alias("hi"),
+                F.when(even, acc["lo"]).otherwise(F.pmod(acc["lo"] + sign * F.pmod(by(acc["hi"]), low), low)).alias("lo"),
+            )
+
+        start = F.struct(F.floor(number / low).cast("long").alias("hi"), F.pmod(number, low).alias("lo"))
+        end = F.aggregate(F.array(*map(F.lit, order)), start, step)
+        return end["hi"] * low + end["lo"]
+
+    moved = F.pmod(mixed(x, 1) + F.pmod(F.xxhash64(F.sha2(space, 256)), high * low - 1) + 1, high * low)
+    y = mixed(moved, -1)
+    byte = lambda k: F.pmod(F.shiftright(y, k), F.lit(256)).cast("string")
+    ip = F.when(n_octets == 3, F.concat_ws(".", octets[0], byte(16), byte(8), byte(0))).otherwise(
+        F.concat_ws(".", octets[0], octets[1], byte(8), byte(0)))
+    number = F.concat(F.substr(token, F.lit(1), F.length(token) - digits), F.lpad(y.cast("string"), digits, F.lit("0")))
+    return F.when(is_ip, ip).otherwise(number)
+
+
 def surrogate(kind: Column, token: Column, attempt: Column, key: str) -> Column:
     """What stands for a token; a pure function of key, token and attempt."""
     seed = F.sha2(F.concat_ws("|", F.lit(key), kind, token, attempt.cast("string")), 256)
@@ -127,13 +195,14 @@ def surrogate(kind: Column, token: Column, attempt: Column, key: str) -> Column:
     top = F.substring_index(domain, ".", -1)
     host = F.substr(domain, F.lit(1), F.length(domain) - F.length(top) - 1)
     email = F.concat(
-        _letters(F.substring_index(token, "@", 1), seed), F.lit("@"), _letters(host, domain_seed), F.lit("."), top
+        _letters(F.substring_index(token, "@", 1), seed), _parts(attempt - 1, seed, list(ALPHABETS["latin"]), ""), F.lit("@"), _letters(host, domain_seed), F.lit("."), top
     )
     octets = F.split(token, r"\.")
-    private = F.when(octets[0] == "10", 1).when((octets[0] == "192") & (octets[1] == "168"), 2).when(
-        (octets[0] == "172") & octets[1].cast("int").between(16, 31), 2).otherwise(0)
+    private = _private(octets)
     ip = F.array_join(
-        F.transform(octets, lambda c, i: F.when(i < private, c).otherwise((_draw(seed, i, 254) + 1).cast("string"))), "."
+        F.transform(octets, lambda c, i: F.when(i < private, c)
+            .when(i == 0, (_draw(seed, i, 116) + 11).cast("string"))  # not among the private ones
+            .otherwise((_draw(seed, i, 254) + 1).cast("string"))), "."
     )
     first = F.concat(F.substr(token, F.lit(1), F.lit(1)), F.substr(body, F.lit(2), F.length(token) - 2))
     check = F.pmod(-_luhn(F.concat(first, F.lit("0"))), F.lit(10)).cast("string")
@@ -151,12 +220,11 @@ def surrogate(kind: Column, token: Column, attempt: Column, key: str) -> Column:
     )
     for gender in ("f", "m"):
         for script, here in (("cyrillic", cyrillic), ("latin", ~cyrillic)):
-            name = [_pick(seed, k, _NAMES[gender, script]) for k in range(3)]
-            # Drawn again, a name gets a second and at last a third part.
-            full = F.when(attempt == 0, name[0]).when(attempt < 8, F.concat_ws("-", *name[:2])).otherwise(F.concat_ws("-", *name))
+            # Drawn again, a name gets one part more each time.
+            full = _parts(attempt + 1, seed, _NAMES[gender, script], "-")
             found = found.when((kind == f"given_{gender}") & here, full)
     for script, here in (("cyrillic", cyrillic), ("latin", ~cyrillic)):
-        parts = F.concat(*[_pick(seed, k, SYLLABLES[script].split()) for k in range(3)])
+        parts = _parts(attempt + 3, seed, SYLLABLES[script].split(), "")
         found = found.when(kind.isin("surname", "given_u") & here, F.initcap(parts))
     return found.otherwise(body)
 
@@ -198,12 +266,15 @@ def _dressed(entity: Column, kind: Column, found: Column) -> Column:
 
 
 def settled(tokens: DataFrame, key: str) -> DataFrame:
-    """kind, token, surrogate: distinct within a kind and never a token of the corpus itself."""
+    """kind, token, surrogate: distinct within a kind and never the token itself, nor another token of
+    the corpus but where ``permuted`` had to be used."""
     draw = surrogate(F.col("kind"), F.col("token"), F.col("attempt"), key)
+    space = fixed_format(F.col("kind"), F.col("token"))
     open_ = tokens.withColumn("attempt", F.lit(0))
     done: DataFrame | None = None
     known = tokens.select(F.col("kind").alias("taken_kind"), F.lower("token").alias("taken"))
-    for _ in range(ROUNDS):
+    n_draws = 0
+    while True:
         drawn = stored(open_.withColumn("surrogate", draw), "drawn")
         used = known
         if done is not None:
@@ -220,7 +291,18 @@ def settled(tokens: DataFrame, key: str) -> DataFrame:
         )
         if open_.isEmpty():
             return done.select("kind", "token", "surrogate")
-    raise ValueError(f"tokens without a surrogate of their own after {ROUNDS} draws")
+        n_draws += 1
+        if n_draws == DRAWS:
+            # All tokens of a format with open ones are permuted, so that these too stay distinct.
+            full = stored(open_.select("kind", space.alias("space")).where("space IS NOT NULL").distinct(), "full-formats")
+            again = tokens.withColumn("space", space).join(full, ["kind", "space"], "left_semi").select(
+                "kind", "token", F.lit(DRAWS).alias("attempt"), permuted(F.col("kind"), F.col("token"), key).alias("surrogate")
+            )
+            kept = done.withColumn("space", space).join(full, ["kind", "space"], "left_anti").drop("space")
+            done = stored(kept.unionByName(again), "settled")
+            open_ = open_.withColumn("space", space).join(full, ["kind", "space"], "left_anti").drop("space")
+            if open_.isEmpty():
+                return done.select("kind", "token", "surrogate")
 
 
 def replace_entities(

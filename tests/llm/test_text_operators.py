@@ -191,3 +191,25 @@ def test_surrogates_stay_distinct(spark):
     found = S.settled(tokens, "k").collect()
     assert len(found) == 3300 == len({(r.kind, r.surrogate.lower()) for r in found})
     assert not {r.surrogate for r in found} & {r.token for r in found}
+
+
+def test_surrogates_beyond_the_capacity_of_a_format(spark):
+    """More surnames than three syllables give, and all private addresses of a network."""
+    names = spark.range(9000).selectExpr("'surname' AS kind", "concat('Ж', translate(id, '0123456789', 'абвгдежзик')) AS token")
+    ips = spark.range(65_536).selectExpr("'ip' AS kind", "concat('192.168.', id div 256, '.', id % 256) AS token")
+    found = S.stored(S.settled(S.stored(names.union(ips), "many-tokens"), "k"), "many-surrogates")
+    total = found.agg(F.count("*"), F.countDistinct("kind", F.lower("surrogate")), F.countDistinct("kind", "token"),
+                      F.sum((F.col("token") == F.col("surrogate")).cast("int"))).first()
+    assert tuple(total) == (74_536, 74_536, 74_536, 0)
+    form = F.when(F.col("kind") == "ip", r"^192\.168\.\d{1,3}\.\d{1,3}$").otherwise("^[А-Я][а-я]+$")
+    assert found.where(~F.regexp_like("surrogate", form)).count() == 0
+
+
+def test_a_whole_format_is_permuted(spark):
+    for kind, n in (("phone", 4), ("phone", 5), ("id", 3)):
+        tokens = spark.range(10**n).select(F.lit(kind).alias("kind"), F.lpad(F.col("id").cast("string"), n, F.lit("0")).alias("token"))
+        found = tokens.withColumn("s", S.permuted(F.col("kind"), F.col("token"), "k")).collect()
+        assert {r.s for r in found} == {r.token for r in found} and all(r.s != r.token for r in found)
+    code = spark.createDataFrame([("phone", "490123456789"), ("ip", "10.0.1.2")], "kind string, token string")
+    a, b = (r[0] for r in code.select(S.permuted(F.col("kind"), F.col("token"), "k")).collect())
+    assert re.fullmatch(r"49\d{10}", a) and re.fullmatch(r"10(\.\d{1,3}){3}", b)
