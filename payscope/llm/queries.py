@@ -200,3 +200,39 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from payscope.llm.surrogates import replace_entities
 
     return replace_entities(table(spark, sf_dir, "documents"), key="a key of your own")
+
+
+OP11_SQL = r"""
+WITH split AS (
+  SELECT doc_id, coalesce(text, '') AS t, string_split(coalesce(text, ''), chr(10)) AS l,
+    list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i : i + 2]) AS k
+  FROM split, unnest(range(1, len(w) - 1)) AS r(i) WHERE len(w) >= 3
+), repeats AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM windows, unnest(range(i, i + 3)) AS r(p) WHERE k > 1 GROUP BY doc_id
+), lined AS (SELECT * EXCLUDE (l), list_filter(l, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM split),
+measured AS (
+  SELECT doc_id, t, w, l, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+    length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words
+  FROM lined LEFT JOIN repeats USING (doc_id)
+), based AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measured
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND word_chars BETWEEN 2 * n_words AND 12 * n_words AND 10 * n_symbols <= n_words
+  AND 10 * n_dup_lines <= 3 * len(l)
+  AND 10 * len(list_filter(w, lambda x: regexp_matches(x, '[A-Za-z\x{80}-\x{10FFFF}]'))) >= 7 * n_words
+  AND 10 * len(list_filter(w, lambda x: suffix(x, '!'))) <= 3 * n_words
+  AND 2 * length(regexp_replace(t, '[^A-Z]', '', 'g')) <= length(regexp_replace(t, '[^A-Za-z]', '', 'g'))
+  AND 10 * len(list_filter(l, lambda x: suffix(x, '...') OR suffix(x, '…'))) <= 3 * len(l)
+  AND 10 * len(list_filter(l, lambda x: regexp_matches(x, '^[\x20\x09]*[-*•]'))) <= 9 * len(l) AS kept
+FROM based"""
+
+
+@register("op11_rule_cascade", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from payscope.llm.rule_cascade import cascade
+
+    return cascade(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text", "failed_rule")
