@@ -1,6 +1,6 @@
 """Quality rules as a short-circuit cascade. DataFrame functions only.
 
-1. *Sample*: about ``sample_rows`` rows are drawn and stored with their words and lines.
+1. *Sample*: about ``sample_rows`` rows are drawn and stored with their words, lines and measures.
 2. *Estimates*: every rule runs over the sample by itself; the time it takes beyond a run without a rule
    is its cost, and one aggregation tells how many rows fail each combination of rules.
 3. *Order*: the rule with the most rejections per cost comes first; then the one with the most among
@@ -32,7 +32,7 @@ WORDS, LINES = "__words", "__lines"
 
 @dataclass(frozen=True)
 class Rule:
-    """``passes`` is a condition over the text and the prepared columns; null counts as failed."""
+    """``passes`` is a condition over the text, the prepared columns and the measures; null counts as failed."""
 
     name: str
     passes: Column
@@ -53,37 +53,41 @@ def prepared(docs: DataFrame, text_col: str) -> DataFrame:
 def with_measures(docs: DataFrame) -> DataFrame:
     """Prepared rows with n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words.
 
-    A window of three words that stands in the text more than once is found by sorting the windows of
-    the text, each with its place, and looking at neighbours.
+    Where two windows of three words have one hash, the windows of the text are sorted as they stand, each
+    with its place, and those equal to a neighbour occur more than once.
     """
     n, text = F.size(WORDS), F.col("__text")
-    after = [F.slice(WORDS, k, F.greatest(n - 2, F.lit(0))) for k in (1, 2, 3)]
-    threes = F.arrays_zip(*[x.alias(f"w{k}") for k, x in enumerate(after)])
-    placed = F.transform(threes, lambda x, i: F.struct(F.concat_ws(" ", *[x[f"w{k}"] for k in range(3)]).alias("w"), i.alias("i")))
+    after = [F.slice(WORDS, k, F.greatest(n - 2, F.lit(0))).alias(f"w{k}") for k in (1, 2, 3)]
     rows = docs.withColumns({
         "n_words": n.cast("long"),
-        "word_chars": F.length(F.translate(text, SPACES, "")).cast("long"),
-        "n_symbols": (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long"),
+        "word_chars": F.length(F.array_join(WORDS, "")).cast("long"),
+        "n_symbols": F.when(
+            text.rlike("[#*$%&|<>]"), F.length(text) - F.length(F.translate(text, SYMBOLS, ""))
+        ).otherwise(0).cast("long"),
         "n_dup_lines": (F.size(LINES) - F.size(F.array_distinct(LINES))).cast("long"),
-        "__windows": F.sort_array(placed),
+        "__threes": F.arrays_zip(*after),
     })
-    m = F.size("__windows")
-    nothing = F.slice("__windows", 1, 0)
-    beside = F.arrays_zip(
-        F.col("__windows").alias("own"),
-        F.when(m > 1, F.slice("__windows", 2, F.greatest(m - 1, F.lit(0)))).otherwise(nothing).alias("next"),
-        F.when(m > 1, F.concat(F.slice("__windows", 1, 1), F.slice("__windows", 1, F.greatest(m - 1, F.lit(0))))).otherwise(nothing).alias("last"),
+    hashes = F.transform("__threes", lambda x: F.xxhash64(x["w1"], x["w2"], x["w3"]))
+    placed = F.transform(
+        "__threes", lambda x, i: F.struct(F.concat_ws(" ", x["w1"], x["w2"], x["w3"]).alias("w"), i.alias("i"))
     )
-    again = F.filter(beside, lambda x, i: F.coalesce(
-        (x["own"]["w"] == x["next"]["w"]) | ((i > 0) & (x["own"]["w"] == x["last"]["w"])), F.lit(False)
-    ))
-    rows = rows.withColumn("__again", F.sort_array(F.transform(again, lambda x: x["own"]["i"])))
+    alike = F.size(F.array_distinct(hashes)) < F.size("__threes")
+    rows = rows.withColumn("__windows", F.when(alike, F.sort_array(placed)))
+    # Each window beside the one that follows it: both occur again if they are equal.
+    pairs = F.arrays_zip(
+        F.col("__windows").alias("a"), F.slice("__windows", 2, F.greatest(F.size("__windows"), F.lit(0))).alias("b")
+    )
+    equal = F.filter(pairs, lambda x: F.coalesce(x["a"]["w"] == x["b"]["w"], F.lit(False)))
+    places = F.array_distinct(F.flatten(F.transform(equal, lambda x: F.array(x["a"]["i"], x["b"]["i"]))))
+    rows = rows.withColumn("__again", F.sort_array(places))
     gaps = F.zip_with(
         "__again", F.slice("__again", 2, F.greatest(F.size("__again"), F.lit(0))),
         lambda a, b: F.least(F.coalesce(b - a, F.lit(3)), F.lit(3)).cast("long"),
     )
     covered = F.aggregate(gaps, F.lit(0).cast("long"), lambda a, x: a + x)
-    return rows.withColumn("n_repeat_words", covered).drop("__windows", "__again")
+    return rows.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0).cast("long"))).drop(
+        "__threes", "__windows", "__again"
+    )
 
 
 def base_failed() -> Column:
@@ -93,11 +97,9 @@ def base_failed() -> Column:
 
 def prose_rules() -> list[Rule]:
     """Rules for prose in languages that are written with blanks, in whole numbers."""
-    n, lines = F.size(WORDS), F.size(LINES)
-    chars = F.length(F.translate("__text", SPACES, ""))
-    symbols = F.length("__text") - F.length(F.translate("__text", SYMBOLS, ""))
+    n, lines = F.col("n_words"), F.size(LINES)
     upper = F.regexp_count("__text", F.lit("[A-Z]"))
-    letters = F.regexp_count("__text", F.lit("[A-Za-z]"))
+    letters = F.length(F.regexp_replace("__text", "[^A-Za-z]+", ""))
 
     def words(pattern: str) -> Column:
         return F.size(F.filter(WORDS, lambda w: w.rlike(pattern)))
@@ -106,9 +108,9 @@ def prose_rules() -> list[Rule]:
         return F.size(F.filter(LINES, lambda x: x.rlike(pattern)))
 
     return [
-        Rule("mean word length from 2 to 12", (chars >= 2 * n) & (chars <= 12 * n)),
-        Rule("at most a symbol in ten words", 10 * symbols <= n),
-        Rule("at most three repeated lines in ten", 10 * (lines - F.size(F.array_distinct(LINES))) <= 3 * lines),
+        Rule("mean word length from 2 to 12", F.col("word_chars").between(2 * n, 12 * n)),
+        Rule("at most a symbol in ten words", 10 * F.col("n_symbols") <= n),
+        Rule("at most three repeated lines in ten", 10 * F.col("n_dup_lines") <= 3 * lines),
         Rule("at least seven words in ten with a letter", 10 * words(r"[A-Za-z\x{80}-\x{10FFFF}]") >= 7 * n),
         Rule("at most three words in ten before exclamation marks", 10 * words(r"!\z") <= 3 * n),
         Rule("at most half of the letters capitals", 2 * upper <= letters),
@@ -154,7 +156,8 @@ def drawn(docs: DataFrame, text_col: str, sample_rows: int, seed: int = SEED) ->
     """A stored sample of about ``sample_rows`` rows; only the text is read. ``docs`` should be a stored table."""
     total = max(docs.count(), 1)
     texts = docs.select(F.col(f"`{text_col}`").alias("text"))
-    return stored(prepared(texts.sample(min(1.0, sample_rows / total), seed), "text"), "rule-sample")
+    sample = with_measures(prepared(texts.sample(min(1.0, sample_rows / total), seed), "text"))
+    return stored(sample, "rule-sample")
 
 
 def cascade(
@@ -173,7 +176,7 @@ def cascade(
     inner = ["__text", WORDS, LINES]
     own = [
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        "failed_rule", *inner, "__windows", "__again",
+        "failed_rule", *inner, "__threes", "__windows", "__again",
     ]
     sample = drawn(docs, text_col, sample_rows)
     docs = docs.withColumnRenamed(text_col, "__given").drop(*[c for c in own if c != text_col])
