@@ -19,13 +19,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def on_workers(spark: SparkSession) -> None:
+    """Python workers find this package where the session was not started with it on the path."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder name below ``spark.checkpoint.dir``, or below the warehouse where that is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
         root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
-    # Python workers find this package where the session was not started with it on the path.
-    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+    on_workers(spark)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -44,6 +48,7 @@ def tasks(spark: SparkSession) -> int:
 
 def picked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``doc_id`` and ``text`` alone (null text: empty); all other columns are left behind."""
+    on_workers(docs.sparkSession)
     return docs.select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"),
         F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"),

@@ -236,3 +236,43 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     from payscope.llm.rule_cascade import cascade
 
     return cascade(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text", "failed_rule")
+
+
+OP13_SQL = r"""
+WITH texts AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+), pieces AS (
+  SELECT lang, list_filter(string_split_regex(p, '[\x20\x09]+'), lambda x: x <> '') AS w
+  FROM (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS p FROM texts)
+), counts AS MATERIALIZED (
+  SELECT lang, m, array_to_string(w[i : i + m - 1], ' ') AS phrase, count(*) AS f
+  FROM pieces, unnest(range(1, 5)) AS s(m), unnest(range(1, len(w) - m + 2)) AS r(i)
+  WHERE len(w) >= m GROUP BY ALL
+), totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE m = 1 GROUP BY lang),
+candidates AS MATERIALIZED (
+  SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE m > 1 AND f >= 30
+), cuts AS (
+  SELECT c.lang, c.m, c.phrase, c.a, k, l.f AS l, r.f AS r,
+    CAST(2000000 * CAST(c.a AS HUGEINT) // (l.f + r.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM candidates) c
+  JOIN counts l ON l.lang = c.lang AND l.m = k AND l.phrase = array_to_string(w[1 : k], ' ')
+  JOIN counts r ON r.lang = c.lang AND r.m = c.m - k AND r.phrase = array_to_string(w[k + 1 : ], ' ')
+), scored AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inside AS (
+  SELECT lang, array_to_string(w[i : i + s - 1], ' ') AS phrase, max(a) AS cover
+  FROM candidates, unnest(range(2, m)) AS q(s), unnest(range(1, m - s + 2)) AS r(i) WHERE m > 2 GROUP BY ALL
+), ranked AS (
+  SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank,
+    s.phrase, a, l, r, score
+  FROM scored s LEFT JOIN inside USING (lang, phrase) WHERE cover IS NULL OR 100 * cover < 80 * a
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
+
+
+@register("op13_collocations", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from payscope.llm.collocations import collocations
+
+    return collocations(table(spark, sf_dir, "documents"))
