@@ -38,7 +38,7 @@ SCALE = 2_000_000
 # A longer phrase with this share (in hundredths) of the count of one inside it replaces it.
 COVER = 80
 FIRST_BATCH, GROWTH = 4, 8
-SLICE_BYTES = 4 << 20
+SLICE_BYTES, CHUNK = 1 << 20, 1 << 14
 _BITS = 25
 _SLOT = (1 << _BITS) - 1
 _SEED = 42  # the seed of Spark's xxhash64
@@ -73,15 +73,23 @@ class _Marks:
     def __or__(self, other: "_Marks") -> "_Marks":
         return _Marks(self.bits | other.bits)
 
-    def has(self, lang: str, phrases: pa.Array) -> np.ndarray:
-        keys = pc.binary_join_element_wise(pa.scalar(lang), phrases, "\n").to_pylist()
-        code = np.fromiter((xxhash.xxh64_intdigest(k, _SEED) for k in keys), np.uint64, len(keys)).view(np.int64)
-        found = np.ones(len(keys), bool)
-        for slot in (code & _SLOT, (code >> _BITS) & _SLOT):
+    def has(self, slots: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        found = np.ones(len(slots[0]), bool)
+        for slot in slots:
             found &= (self.bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
         return found
 
 
+def _slots(lang: str, phrases: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The two bits of each phrase, as ``_Marks.of`` sets them."""
+    code = np.empty(len(phrases), np.int64)
+    for at in range(0, len(phrases), CHUNK):
+        keys = pc.binary_join_element_wise(pa.scalar(lang), phrases.slice(at, CHUNK), "\n").to_pylist()
+        found = np.fromiter((xxhash.xxh64_intdigest(k, _SEED) for k in keys), np.uint64, len(keys))
+        code[at : at + CHUNK] = found.view(np.int64)
+    return code & _SLOT, (code >> _BITS) & _SLOT
+
+
 def split_words(texts: list[str]) -> tuple[pa.DictionaryArray, np.ndarray]:
     """(words of the texts, coded; number of the piece that each lies in). Pieces never span texts."""
     data = LOWER[np.frombuffer("\n".join(texts).encode(), np.uint8)]
@@ -135,10 +143,12 @@ class _Runs:
         parts = self.phrases.take(pa.array(distinct // k)), one.phrases.take(pa.array(distinct % k))
         return _Runs(self.size + 1, at, codes, n, pc.binary_join_element_wise(*parts, " "))
 
-    def where(self, marks: _Marks, lang: str, n: int) -> np.ndarray:
-        """Of the n places of a batch, those where a marked phrase begins."""
-        found = np.zeros(n, bool)
-        found[self.at] = marks.has(lang, self.phrases)[self.codes]
+    def where(self, marks: list[_Marks], lang: str, n: int) -> list[np.ndarray]:
+        """For each bitmap: of the n places of a batch, those where a marked phrase begins."""
+        slots = _slots(lang, self.phrases)
+        found = [np.zeros(n, bool) for _ in marks]
+        for there, m in zip(found, marks):
+            there[self.at] = m.has(slots)[self.codes]
         return found
 
     def rows(self, lang: str, wanted: np.ndarray | None = None) -> pa.RecordBatch:
@@ -157,7 +167,7 @@ def _count_phrases(common: _Marks, expand: _Marks | None, grown: _Marks | None):
             for lang, texts in _by_lang(part):
                 words, piece = split_words(texts)
                 one, n = _Runs.words(words), len(words) + MAX_WORDS
-                ok = common.has(lang, one.phrases)[one.codes]
+                ok = common.has(_slots(lang, one.phrases))[one.codes]
                 # Whether a word and the next may stand in one phrase; none may at the end.
                 joined = np.zeros(n, bool)
                 joined[: max(len(words) - 1, 0)] = ok[:-1] & ok[1:] & (piece[:-1] == piece[1:])
@@ -165,11 +175,11 @@ def _count_phrases(common: _Marks, expand: _Marks | None, grown: _Marks | None):
                 if expand is None:
                     yield two.rows(lang)
                     continue
-                marked, held = (two.where(m, lang, n) for m in (expand, grown))
+                marked, held = two.where([expand, grown], lang, n)
                 may = joined[two.at + 1] & (held[two.at] | held[two.at + 1])
                 three = two.longer(np.flatnonzero(may), one)
                 yield three.rows(lang, marked[three.at] | marked[three.at + 1])
-                begin = np.flatnonzero(three.where(expand, lang, n))
+                begin = np.flatnonzero(three.where([expand], lang, n)[0])
                 before = begin[begin > 0] - 1
                 begin = np.union1d(begin[joined[begin + 2]], before[joined[before]])
                 # All begin with a pair of common words, but not all triples were built above.
