@@ -13,7 +13,7 @@ part at least as often as the phrase itself; so no phrase behind p scores above
 3. The ``top``-th surviving score of a language is its threshold. Growth goes on, with larger and larger
    batches, until no bound on the frontier reaches the threshold of its language; ties are expanded too.
 
-A pass finds the words and phrases that matter by two bitmaps of a fixed size (see ``_Marks``), whatever
+A pass finds the words and phrases that matter by bitmaps of a fixed size (see ``_Marks``), whatever
 the size of the vocabulary or of the frontier; they let a few other phrases through, whose counts are
 right as well. Counting is a map-side combine and a shuffle on (language, phrase).
 """
@@ -34,14 +34,18 @@ from payscope.llm.common import on_workers, slices, stored
 from payscope.llm.hashing import LOWER
 
 TOP, MIN_COUNT, MAX_WORDS = 2000, 30, 4
-SCALE = 2_000_000
+SCALE, _BIN = 2_000_000, 1000
 # A longer phrase with this share (in hundredths) of the count of one inside it replaces it.
 COVER = 80
 FIRST_BATCH, GROWTH = 4, 8
-SLICE_BYTES, CHUNK = 1 << 20, 1 << 14
+SLICE_BYTES = 2 << 20
 _BITS = 25
 _SLOT = (1 << _BITS) - 1
-_SEED = 42  # the seed of Spark's xxhash64
+# The seed of Spark's xxhash64, and the primes of that function.
+_SEED, _U = 42, np.uint64
+_PRIMES = np.array([
+    0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5
+], np.uint64)
 
 _BLANK, _BREAK = 1, 2
 _KIND = np.zeros(256, np.uint8)
@@ -49,8 +53,25 @@ _KIND[[0x20, 0x09]] = _BLANK
 _KIND[[*b".,;:!?", *range(0x0A, 0x0E)]] = _BREAK
 
 
+def _phrase_hash(words: Column) -> Column:
+    """Of (lang, array of at most four words): each word's hash is hashed on top of those before it."""
+    each = [F.xxhash64(F.get(words, F.lit(k))) for k in range(MAX_WORDS)]
+    return F.coalesce(*[F.when(F.size(words) == m, F.xxhash64("lang", *each[:m])) for m in range(1, MAX_WORDS + 1)])
+
+
+def _chained(value: np.ndarray, seed: np.ndarray) -> np.ndarray:
+    """Spark's xxhash64 of 64-bit numbers on top of the hashes ``seed``."""
+    with np.errstate(over="ignore"):
+        x = value * _PRIMES[1]
+        x = (x << _U(31) | x >> _U(33)) * _PRIMES[0] ^ (seed + _PRIMES[4] + _U(8))
+        x = (x << _U(27) | x >> _U(37)) * _PRIMES[0] + _PRIMES[3]
+        x = (x ^ x >> _U(33)) * _PRIMES[1]
+        x = (x ^ x >> _U(29)) * _PRIMES[2]
+        return x ^ x >> _U(32)
+
+
 class _Marks:
-    """A bitmap of 2^25 bits in which a (language, phrase) sets two."""
+    """A bitmap of 2^25 bits in which the hash of a (language, phrase) sets two."""
 
     def __init__(self, bits: np.ndarray) -> None:
         self.bits = bits
@@ -58,7 +79,7 @@ class _Marks:
     @staticmethod
     def of(phrases: DataFrame) -> "_Marks":
         """Of the rows (lang, phrase): built on the cluster in 1,024 stretches, 4 MB in all."""
-        code = F.xxhash64(F.concat("lang", F.lit("\n"), "phrase"))
+        code = _phrase_hash(F.split("phrase", " "))
         # Spark's bitmaps count from 1.
         slots = F.array(code.bitwiseAND(F.lit(_SLOT)) + 1, F.shiftright(code, _BITS).bitwiseAND(F.lit(_SLOT)) + 1)
         found = phrases.select(F.explode(slots).alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("k")).agg(
@@ -73,23 +94,14 @@ class _Marks:
     def __or__(self, other: "_Marks") -> "_Marks":
         return _Marks(self.bits | other.bits)
 
-    def has(self, slots: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-        found = np.ones(len(slots[0]), bool)
-        for slot in slots:
+    def has(self, code: np.ndarray) -> np.ndarray:
+        code = code.view(np.int64)
+        found = np.ones(len(code), bool)
+        for slot in (code & _SLOT, (code >> _BITS) & _SLOT):
             found &= (self.bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
         return found
 
 
-def _slots(lang: str, phrases: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The two bits of each phrase, as ``_Marks.of`` sets them."""
-    code = np.empty(len(phrases), np.int64)
-    for at in range(0, len(phrases), CHUNK):
-        keys = pc.binary_join_element_wise(pa.scalar(lang), phrases.slice(at, CHUNK), "\n").to_pylist()
-        found = np.fromiter((xxhash.xxh64_intdigest(k, _SEED) for k in keys), np.uint64, len(keys))
-        code[at : at + CHUNK] = found.view(np.int64)
-    return code & _SLOT, (code >> _BITS) & _SLOT
-
-
 def split_words(texts: list[str]) -> tuple[pa.DictionaryArray, np.ndarray]:
     """(words of the texts, coded; number of the piece that each lies in). Pieces never span texts."""
     data = LOWER[np.frombuffer("\n".join(texts).encode(), np.uint8)]
@@ -143,18 +155,8 @@ class _Runs:
         parts = self.phrases.take(pa.array(distinct // k)), one.phrases.take(pa.array(distinct % k))
         return _Runs(self.size + 1, at, codes, n, pc.binary_join_element_wise(*parts, " "))
 
-    def where(self, marks: list[_Marks], lang: str, n: int) -> list[np.ndarray]:
-        """For each bitmap: of the n places of a batch, those where a marked phrase begins."""
-        slots = _slots(lang, self.phrases)
-        found = [np.zeros(n, bool) for _ in marks]
-        for there, m in zip(found, marks):
-            there[self.at] = m.has(slots)[self.codes]
-        return found
-
-    def rows(self, lang: str, wanted: np.ndarray | None = None) -> pa.RecordBatch:
-        n = self.n if wanted is None else np.bincount(self.codes[wanted], minlength=len(self.n))
-        seen = np.flatnonzero(n)
-        return _rows(lang, self.phrases.take(pa.array(seen)), self.size, n[seen])
+    def rows(self, lang: str) -> pa.RecordBatch:
+        return _rows(lang, self.phrases, self.size, self.n)
 
 
 def _count_phrases(common: _Marks, expand: _Marks | None, grown: _Marks | None):
@@ -166,29 +168,42 @@ def _count_phrases(common: _Marks, expand: _Marks | None, grown: _Marks | None):
         for part in slices(batches, "text", SLICE_BYTES):
             for lang, texts in _by_lang(part):
                 words, piece = split_words(texts)
-                one, n = _Runs.words(words), len(words) + MAX_WORDS
-                ok = common.has(_slots(lang, one.phrases))[one.codes]
+                one, n = _Runs.words(words), len(words)
+                by_word = np.array([xxhash.xxh64_intdigest(w, _SEED) for w in words.dictionary.to_pylist()], np.uint64)
+                hashes = by_word[one.codes]
+                begun = np.full(1, xxhash.xxh64_intdigest(lang, _SEED), np.uint64)
+                ok = common.has(_chained(by_word, begun))[one.codes]
                 # Whether a word and the next may stand in one phrase; none may at the end.
-                joined = np.zeros(n, bool)
-                joined[: max(len(words) - 1, 0)] = ok[:-1] & ok[1:] & (piece[:-1] == piece[1:])
-                two = one.longer(np.flatnonzero(joined), one)
+                joined = np.zeros(n + MAX_WORDS, bool)
+                joined[: max(n - 1, 0)] = ok[:-1] & ok[1:] & (piece[:-1] == piece[1:])
+                at = np.flatnonzero(joined)
                 if expand is None:
-                    yield two.rows(lang)
+                    yield one.longer(at, one).rows(lang)
                     continue
-                marked, held = two.where([expand, grown], lang, n)
-                may = joined[two.at + 1] & (held[two.at] | held[two.at + 1])
-                three = two.longer(np.flatnonzero(may), one)
-                yield three.rows(lang, marked[three.at] | marked[three.at + 1])
-                begin = np.flatnonzero(three.where([expand], lang, n)[0])
-                before = begin[begin > 0] - 1
-                begin = np.union1d(begin[joined[begin + 2]], before[joined[before]])
-                # All begin with a pair of common words, but not all triples were built above.
-                triples = two.longer(np.searchsorted(two.at, begin), one)
-                yield triples.longer(np.arange(len(begin)), one).rows(lang)
+                twos = _chained(hashes[at + 1], _chained(hashes[at], begun))
+                marked, held = np.zeros((2, n + MAX_WORDS), bool)
+                marked[at], held[at] = expand.has(twos), grown.has(twos)
+                code = np.zeros(n + MAX_WORDS, np.uint64)
+                code[at] = twos
+                three = joined & np.roll(joined, -1)
+                yield _stretch(one, np.flatnonzero(three & (marked | np.roll(marked, -1))), 3).rows(lang)
+                at = np.flatnonzero(three & (held | np.roll(held, -1)))
+                marked[:] = False
+                marked[at] = expand.has(_chained(hashes[at + 2], code[at]))
+                four = three & np.roll(joined, -2) & (marked | np.roll(marked, -1))
+                yield _stretch(one, np.flatnonzero(four), 4).rows(lang)
 
     return run
 
 
+def _stretch(one: _Runs, at: np.ndarray, size: int) -> _Runs:
+    """The stretches of ``size`` words that begin at these places."""
+    found = one.longer(at, one)
+    for _ in range(size - 2):
+        found = found.longer(np.arange(len(at)), one)
+    return found
+
+
 def _summed(counted: DataFrame, min_count: int, name: str) -> DataFrame:
     total = F.sum("n").alias("n")
     return stored(counted.groupBy("lang", "phrase", "m").agg(total).where(F.col("n") >= min_count), name)
@@ -203,7 +218,7 @@ def _scored(new: DataFrame, counts: DataFrame) -> DataFrame:
     """lang, phrase, m, a, k, l, r, score, bound, missing for phrases (lang, phrase, m, n) of two words and more.
 
     ``counts`` holds the parts. Where one has not been counted, ``score`` is an upper bound, as if it occurred
-    as often as the phrase, and ``missing`` names such parts.
+    as often as the phrase, and ``missing`` names such parts. ``bound`` is of what begins with the phrase, itself included.
     """
     cuts = new.select("lang", "phrase", "m", F.col("n").alias("a"), F.explode(F.sequence(F.lit(1), F.col("m") - 1)).alias("k"))
     cuts = cuts.withColumns({
@@ -216,20 +231,46 @@ def _scored(new: DataFrame, counts: DataFrame) -> DataFrame:
     cuts = cuts.withColumns({"missing": missing, "l": F.coalesce("n_left", "a"), "r": F.coalesce("n_right", "a")})
     each = cuts.withColumns({"score": _ratio("a", "l", "r"), "bound": _ratio("a", "l", "a")})
     rows = each.groupBy("lang", "phrase", "m", "a").agg(
-        F.min(F.struct("score", "k", "l", "r")).alias("cut"), F.min("bound").alias("bound"),
+        F.min(F.struct("score", "k", "l", "r")).alias("cut"), F.min(F.when(F.col("m") < MAX_WORDS, F.col("bound")).otherwise(F.col("score"))).alias("bound"),
         F.flatten(F.collect_list("missing")).alias("missing"),  # at most three cuts
     )
-    return rows.select("lang", "phrase", "m", "a", "cut.*", F.when(F.col("m") < MAX_WORDS, F.col("bound")).alias("bound"), "missing")
+    return rows.select("lang", "phrase", "m", "a", "cut.*", "bound", "missing")
+
 
+def _from_top(rows: DataFrame, value: Column, k: int) -> DataFrame:
+    """lang, value, before: the greatest value of each language such that ``k`` rows have it or a greater one,
+    and how many have a greater one. ``value`` must have a bounded number of values."""
+    counted = rows.groupBy("lang", value.alias("value")).agg(F.count(F.lit(1)).alias("rows"))
+    order = W.partitionBy("lang").orderBy(F.desc("value"))
+    summed = counted.withColumn("upto", F.sum("rows").over(order)).withColumn("before", F.col("upto") - F.col("rows"))
+    return summed.where((F.col("upto") >= k) & (F.col("before") < k)).select("lang", "value", "before")
 
-def _cutoffs(frontier: DataFrame, batch: int) -> DataFrame:
-    """lang, cutoff: about the ``batch`` best bounds of each language lie at or above it. From a histogram of
-    at most 1,001 bins a language."""
-    width = SCALE // 2000
-    bins = frontier.groupBy("lang", F.floor(F.col("bound") / width).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    order = W.partitionBy("lang").orderBy(F.desc("bin"))
-    above = bins.withColumn("before", F.sum("n").over(order) - F.col("n"))
-    return above.where(F.col("before") < batch).groupBy("lang").agg((F.min("bin") * width).alias("cutoff"))
+
+def _limits(surviving: DataFrame, top: int) -> dict[str, int]:
+    """The ``top``-th score of each language that has so many, by two histograms of at most 1,001 bins a language."""
+    bin_ = F.floor(F.col("score") / _BIN)
+    # One row per language, here and in ``_cutoffs``.
+    bins = {r["lang"]: (r["value"], r["before"]) for r in _from_top(surviving, bin_, top).collect()}
+    inside = surviving.where(bin_ == _per_lang({k: v for k, (v, _) in bins.items()}))
+    counted = inside.groupBy("lang", "score").agg(F.count(F.lit(1)).alias("rows"))
+    before = _per_lang({k: v for k, (_, v) in bins.items()})
+    upto = before + F.sum("rows").over(W.partitionBy("lang").orderBy(F.desc("score")))
+    best = counted.withColumn("upto", upto).where(F.col("upto") >= top).groupBy("lang").agg(F.max("score").alias("score"))
+    return {r["lang"]: r["score"] for r in best.collect()}
+
+
+def _cutoffs(frontier: DataFrame, batch: int) -> dict[str, int]:
+    """A bound for each language with more than ``batch`` rows, about as many of which reach it."""
+    found = _from_top(frontier, F.floor(F.col("bound") / _BIN), batch).collect()
+    return {r["lang"]: r["value"] * _BIN for r in found}
+
+
+def _per_lang(values: dict[str, int]) -> Column:
+    """A language's value, null where it has none."""
+    if not values:
+        return F.lit(None).cast("long")
+    found = F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
+    return F.try_element_at(found, F.col("lang")).cast("long")
 
 
 def _first(rows: DataFrame, top: int, *order: Column) -> DataFrame:
@@ -245,7 +286,7 @@ def collocations(
     """lang, rank, phrase, a, l, r, n, score: each language's best surviving phrases.
 
     ``first_batch`` times ``top`` prefixes a language are expanded first, ``GROWTH`` times as many in each
-    following round; ``log`` receives the prefixes expanded by each. A null text is empty, a null language
+    following round; ``log`` receives the number expanded by each. A null text is empty, a null language
     ``und``; repeated rows count each for itself, phrases never span texts. Ties go by score, count, then phrase.
     A language with fewer phrases has fewer rows; an empty table gives an empty result. Other columns are
     ignored; ``docs`` should be a stored table, as it is read once a round.
@@ -264,49 +305,46 @@ def collocations(
     new = _summed(texts.mapInArrow(_count_phrases(common, None, None), schema), min_count, "phrases")
     counts = counts.unionByName(new)
     scored = stored(_scored(new, counts), "scored")
-    expanded = spark.createDataFrame([], "lang string, phrase string")
-    grown = _Marks(np.zeros_like(common.bits))
-    batch = first_batch * top
+    # Candidates whose longer phrases have not been counted, and those that survive, both without what no
+    # longer can be among the ``top``.
+    pool = stored(_scored(new, counts), "scored")
+    surviving = pool.limit(0)
+    grown, batch = _Marks(np.zeros_like(common.bits)), first_batch * top
     while True:
-        # What each phrase of three or four words says about the two phrases inside it.
-        inside = F.array(F.expr("substring_index(phrase, ' ', m - 1)"), F.expr("substring_index(phrase, ' ', 1 - m)"))
-        covers = scored.where("m > 2").select("lang", F.explode(inside).alias("phrase"), "a").groupBy(
-            "lang", "phrase"
-        ).agg(F.max("a").alias("cover"))
-        known = expanded.withColumn("done", F.lit(True))
-        nodes = scored.join(covers, ["lang", "phrase"], "left").join(known, ["lang", "phrase"], "left")
-        gone = F.coalesce(100 * F.col("cover") >= COVER * F.col("a"), F.lit(False))
-        settled = (F.col("done") | (F.col("m") == MAX_WORDS)) & (F.size("missing") == 0)
-        nodes = stored(
-            nodes.select(*scored.columns, gone.alias("gone"), F.coalesce("done", F.lit(False)).alias("done"), F.coalesce(settled, F.lit(False)).alias("settled")),
-            "nodes",
-        )
-        surviving = nodes.where("settled AND NOT gone")
-        limits = _first(surviving.select("lang", "score"), top, F.desc("score")).where(F.col("rank") == top)
-        limits = stored(limits.select("lang", F.col("score").alias("limit")), "limits")  # a row per language
-        open_ = nodes.where(f"(m < {MAX_WORDS} AND NOT done) OR size(missing) > 0").withColumn(
-            "bound", F.coalesce("bound", "score")
-        ).join(limits, "lang", "left").where("limit IS NULL OR bound >= limit")
-        # Whatever is to be expanded, and the prefixes that count parts not counted yet.
-        best = open_.join(_cutoffs(open_, batch), "lang").where("bound >= cutoff")
-        missing = best.select("lang", F.explode(F.transform("missing", lambda x: F.substring_index(x, " ", 2))).alias("phrase"))
-        chosen = best.where(f"m < {MAX_WORDS} AND NOT done").select("lang", "phrase").unionByName(missing).distinct()
-        chosen = stored(chosen, "frontier")
-        size = chosen.count()
+        pool = pool.where(F.col("bound") >= F.coalesce(_per_lang(limits := _limits(surviving, top)), F.lit(0)))
+        chosen = F.col("bound") >= F.coalesce(_per_lang(_cutoffs(pool, batch)), F.lit(0))
+        best = stored(pool.where(chosen), "best")
         if log is not None:
-            log.append(size)
-        if not size:
+            log.append(best.count())
+        if best.isEmpty():
             break
-        marks = _Marks.of(chosen)
+        # Parts of four-word phrases that have not been counted come to be by growing their first two words.
+        parts = F.transform("missing", lambda x: F.substring_index(x, " ", 2))
+        frontier = best.where(F.col("m") < MAX_WORDS).select("lang", "phrase").unionByName(
+            best.select("lang", F.explode(parts).alias("phrase"))
+        )
+        marks = _Marks.of(frontier)
         grown = grown | marks
-        expanded = stored(expanded.unionByName(chosen).distinct(), "expanded")
         found = _summed(texts.mapInArrow(_count_phrases(common, marks, grown), schema), min_count, "phrases")
-        fresh = found.join(counts.select("lang", "phrase"), ["lang", "phrase"], "left_anti")
-        again = scored.where(F.size("missing") > 0).select("lang", "phrase", "m", F.col("a").alias("n"))
-        fresh = stored(fresh.select("lang", "phrase", "m", "n"), "fresh")
+        # What each phrase says about the two that are a word shorter.
+        inside = F.array(F.expr("substring_index(phrase, ' ', m - 1)"), F.expr("substring_index(phrase, ' ', 1 - m)"))
+        covers = found.select("lang", F.explode(inside).alias("phrase"), "n").groupBy("lang", "phrase").agg(F.max("n").alias("cover"))
+        settled = best.where(F.col("m") < MAX_WORDS).join(covers, ["lang", "phrase"], "left").where(
+            F.coalesce(100 * F.col("cover") < COVER * F.col("a"), F.lit(True))
+        ).drop("cover")
+        longer = counts.where("m > 2").select("lang", "phrase")
+        fresh = stored(found.join(longer, ["lang", "phrase"], "left_anti").select("lang", "phrase", "m", "n"), "fresh")
         counts = counts.unionByName(fresh)
-        scored = stored(scored.where(F.size("missing") == 0).unionByName(_scored(fresh.unionByName(again), counts)), "scored")
+        again = best.where(F.size("missing") > 0).select("lang", "phrase", "m", F.col("a").alias("n"))
+        scored = stored(_scored(fresh.unionByName(again), counts), "scored")
+        whole = (F.col("m") == MAX_WORDS) & (F.size("missing") == 0)
+        surviving = stored(
+            surviving.where(F.col("score") >= F.coalesce(_per_lang(limits), F.lit(0)))
+            .unionByName(settled).unionByName(scored.where(whole)), "surviving"
+        )
+        pool = stored(pool.where(~chosen).unionByName(scored.where(~whole)), "pool")
         batch *= GROWTH
+    surviving = surviving.where(F.col("score") >= F.coalesce(_per_lang(limits), F.lit(0)))
     ranked = _first(surviving, top, F.desc("score"), F.desc("a"), F.col("phrase"))
     return ranked.join(totals, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", F.col("total").alias("n"), "score"
