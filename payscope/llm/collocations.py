@@ -38,7 +38,7 @@ SCALE, _BIN = 2_000_000, 1000
 # A longer phrase with this share (in hundredths) of the count of one inside it replaces it.
 COVER = 80
 FIRST_BATCH, GROWTH = 4, 8
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 3 << 20
 _BITS = 25
 _SLOT = (1 << _BITS) - 1
 # The seed of Spark's xxhash64, and the primes of that function.
@@ -318,11 +318,13 @@ def collocations(
             log.append(best.count())
         if best.isEmpty():
             break
-        # Parts of four-word phrases that have not been counted come to be by growing their first two words.
+        # The other three words of a four-word phrase are a part to be counted too: with three words both pairs
+        # in them grow. Where a part is missing all the same, its first two words grow.
+        pairs = F.array(F.substring_index("phrase", " ", 2), F.substring_index("phrase", " ", -2))
         parts = F.transform("missing", lambda x: F.substring_index(x, " ", 2))
         frontier = best.where(F.col("m") < MAX_WORDS).select("lang", "phrase").unionByName(
-            best.select("lang", F.explode(parts).alias("phrase"))
-        )
+            best.where(F.col("m") == 3).select("lang", F.explode(pairs).alias("phrase"))
+        ).unionByName(best.select("lang", F.explode(parts).alias("phrase")))
         marks = _Marks.of(frontier)
         grown = grown | marks
         found = _summed(texts.mapInArrow(_count_phrases(common, marks, grown), schema), min_count, "phrases")
