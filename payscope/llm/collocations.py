@@ -13,7 +13,7 @@ part at least as often as the phrase itself; so no phrase behind p scores above
 3. The ``top``-th surviving score of a language is its threshold. Growth goes on, with larger and larger
    batches, until no bound on the frontier reaches the threshold of its language; ties are expanded too.
 
-A pass finds the words and phrases that matter by bitmaps of a fixed size (see ``_Marks``), whatever
+A pass finds the words and phrases that matter by bitmaps of a fixed size (see ``marks``), whatever
 the size of the vocabulary or of the frontier; they let a few other phrases through, whose counts are
 right as well. Counting is a map-side combine and a shuffle on (language, phrase).
 """
@@ -25,96 +25,25 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from payscope.llm.common import on_workers, slices, stored
-from payscope.llm.hashing import LOWER
+from payscope.llm.marks import MAX_WORDS, Marks, chained, split_words, text_hash
 
-TOP, MIN_COUNT, MAX_WORDS = 2000, 30, 4
+TOP, MIN_COUNT = 2000, 30
 SCALE, _BIN = 2_000_000, 1000
 # A longer phrase with this share (in hundredths) of the count of one inside it replaces it.
 COVER = 80
 FIRST_BATCH, GROWTH = 4, 8
 SLICE_BYTES = 3 << 20
-_BITS = 25
-_SLOT = (1 << _BITS) - 1
-# The seed of Spark's xxhash64, and the primes of that function.
-_SEED, _U = 42, np.uint64
-_PRIMES = np.array([
-    0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5
-], np.uint64)
-
 _BLANK, _BREAK = 1, 2
 _KIND = np.zeros(256, np.uint8)
 _KIND[[0x20, 0x09]] = _BLANK
 _KIND[[*b".,;:!?", *range(0x0A, 0x0E)]] = _BREAK
 
 
-def _phrase_hash(words: Column) -> Column:
-    """Of (lang, array of at most four words): each word's hash is hashed on top of those before it."""
-    each = [F.xxhash64(F.get(words, F.lit(k))) for k in range(MAX_WORDS)]
-    return F.coalesce(*[F.when(F.size(words) == m, F.xxhash64("lang", *each[:m])) for m in range(1, MAX_WORDS + 1)])
-
-
-def _chained(value: np.ndarray, seed: np.ndarray) -> np.ndarray:
-    """Spark's xxhash64 of 64-bit numbers on top of the hashes ``seed``."""
-    with np.errstate(over="ignore"):
-        x = value * _PRIMES[1]
-        x = (x << _U(31) | x >> _U(33)) * _PRIMES[0] ^ (seed + _PRIMES[4] + _U(8))
-        x = (x << _U(27) | x >> _U(37)) * _PRIMES[0] + _PRIMES[3]
-        x = (x ^ x >> _U(33)) * _PRIMES[1]
-        x = (x ^ x >> _U(29)) * _PRIMES[2]
-        return x ^ x >> _U(32)
-
-
-class _Marks:
-    """A bitmap of 2^25 bits in which the hash of a (language, phrase) sets two."""
-
-    def __init__(self, bits: np.ndarray) -> None:
-        self.bits = bits
-
-    @staticmethod
-    def of(phrases: DataFrame) -> "_Marks":
-        """Of the rows (lang, phrase): built on the cluster in 1,024 stretches, 4 MB in all."""
-        code = _phrase_hash(F.split("phrase", " "))
-        # Spark's bitmaps count from 1.
-        slots = F.array(code.bitwiseAND(F.lit(_SLOT)) + 1, F.shiftright(code, _BITS).bitwiseAND(F.lit(_SLOT)) + 1)
-        found = phrases.select(F.explode(slots).alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("k")).agg(
-            F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")
-        )
-        bits = np.zeros((1 << _BITS) // 8, np.uint8)
-        for k, part in found.collect():
-            at = (k - 1) * 4096
-            bits[at : at + 4096] |= np.frombuffer(part, np.uint8)
-        return _Marks(bits)
-
-    def __or__(self, other: "_Marks") -> "_Marks":
-        return _Marks(self.bits | other.bits)
-
-    def has(self, code: np.ndarray) -> np.ndarray:
-        code = code.view(np.int64)
-        found = np.ones(len(code), bool)
-        for slot in (code & _SLOT, (code >> _BITS) & _SLOT):
-            found &= (self.bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
-        return found
-
-
-def split_words(texts: list[str]) -> tuple[pa.DictionaryArray, np.ndarray]:
-    """(words of the texts, coded; number of the piece that each lies in). Pieces never span texts."""
-    data = LOWER[np.frombuffer("\n".join(texts).encode(), np.uint8)]
-    kind = _KIND[data]
-    inside = kind == 0
-    edges = np.flatnonzero(np.diff(inside.astype(np.int8), prepend=0, append=0))
-    begin, sizes = edges[::2], edges[1::2] - edges[::2]
-    offsets = np.zeros(len(sizes) + 1, np.int32)
-    np.cumsum(sizes, out=offsets[1:])
-    words = pa.StringArray.from_buffers(len(sizes), pa.py_buffer(offsets), pa.py_buffer(data[inside]))
-    return words.dictionary_encode(), np.cumsum(kind == _BREAK, dtype=np.int32)[begin]
-
-
 def _rows(lang: str, phrases: pa.Array, m: int, n: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.repeat(pa.scalar(lang), len(n)), phrases, pa.repeat(pa.scalar(m, pa.int32()), len(n)), pa.array(n, pa.int64())],
@@ -131,7 +60,7 @@ def _by_lang(part: pa.RecordBatch) -> Iterator[tuple[str, list[str]]]:
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in slices(batches, "text", SLICE_BYTES):
         for lang, texts in _by_lang(part):
-            yield _Runs.words(split_words(texts)[0]).rows(lang)
+            yield _Runs.words(split_words(texts, _KIND)[0]).rows(lang)
 
 
 class _Runs:
@@ -159,7 +88,7 @@ class _Runs:
         return _rows(lang, self.phrases, self.size, self.n)
 
 
-def _count_phrases(common: _Marks, expand: _Marks | None, grown: _Marks | None):
+def _count_phrases(common: Marks, expand: Marks | None, grown: Marks | None):
     """Counts pairs of common words (``expand=None``), or the phrases of three and four words whose first or
     last words but one are marked to be expanded. ``grown`` marks the pairs expanded so far, this time
     included; every phrase of three words on the frontier holds one."""
@@ -167,12 +96,13 @@ def _count_phrases(common: _Marks, expand: _Marks | None, grown: _Marks | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", SLICE_BYTES):
             for lang, texts in _by_lang(part):
-                words, piece = split_words(texts)
+                words, begin, kinds = split_words(texts, _KIND)
+                piece = np.cumsum(kinds == _BREAK, dtype=np.int32)[begin]
                 one, n = _Runs.words(words), len(words)
-                by_word = np.array([xxhash.xxh64_intdigest(w, _SEED) for w in words.dictionary.to_pylist()], np.uint64)
+                by_word = np.array([text_hash(w) for w in words.dictionary.to_pylist()], np.uint64)
                 hashes = by_word[one.codes]
-                begun = np.full(1, xxhash.xxh64_intdigest(lang, _SEED), np.uint64)
-                ok = common.has(_chained(by_word, begun))[one.codes]
+                begun = np.full(1, text_hash(lang), np.uint64)
+                ok = common.has(chained(by_word, begun))[one.codes]
                 # Whether a word and the next may stand in one phrase; none may at the end.
                 joined = np.zeros(n + MAX_WORDS, bool)
                 joined[: max(n - 1, 0)] = ok[:-1] & ok[1:] & (piece[:-1] == piece[1:])
@@ -180,7 +110,7 @@ def _count_phrases(common: _Marks, expand: _Marks | None, grown: _Marks | None):
                 if expand is None:
                     yield one.longer(at, one).rows(lang)
                     continue
-                twos = _chained(hashes[at + 1], _chained(hashes[at], begun))
+                twos = chained(hashes[at + 1], chained(hashes[at], begun))
                 marked, held = np.zeros((2, n + MAX_WORDS), bool)
                 marked[at], held[at] = expand.has(twos), grown.has(twos)
                 code = np.zeros(n + MAX_WORDS, np.uint64)
@@ -189,7 +119,7 @@ def _count_phrases(common: _Marks, expand: _Marks | None, grown: _Marks | None):
                 yield _stretch(one, np.flatnonzero(three & (marked | np.roll(marked, -1))), 3).rows(lang)
                 at = np.flatnonzero(three & (held | np.roll(held, -1)))
                 marked[:] = False
-                marked[at] = expand.has(_chained(hashes[at + 2], code[at]))
+                marked[at] = expand.has(chained(hashes[at + 2], code[at]))
                 four = three & np.roll(joined, -2) & (marked | np.roll(marked, -1))
                 yield _stretch(one, np.flatnonzero(four), 4).rows(lang)
 
@@ -301,7 +231,7 @@ def collocations(
     words = _summed(texts.mapInArrow(_count_words, schema), 1, "words")
     totals = stored(words.groupBy("lang").agg(F.sum("n").alias("total")), "totals")
     counts = words.where(F.col("n") >= min_count)
-    common = _Marks.of(counts)
+    common = Marks.of(counts)
     new = _summed(texts.mapInArrow(_count_phrases(common, None, None), schema), min_count, "phrases")
     counts = counts.unionByName(new)
     scored = stored(_scored(new, counts), "scored")
@@ -309,7 +239,7 @@ def collocations(
     # longer can be among the ``top``.
     pool = stored(_scored(new, counts), "scored")
     surviving = pool.limit(0)
-    grown, batch = _Marks(np.zeros_like(common.bits)), first_batch * top
+    grown, batch = Marks(np.zeros_like(common.bits)), first_batch * top
     while True:
         pool = pool.where(F.col("bound") >= F.coalesce(_per_lang(limits := _limits(surviving, top)), F.lit(0)))
         chosen = F.col("bound") >= F.coalesce(_per_lang(_cutoffs(pool, batch)), F.lit(0))
@@ -325,7 +255,7 @@ def collocations(
         frontier = best.where(F.col("m") < MAX_WORDS).select("lang", "phrase").unionByName(
             best.where(F.col("m") == 3).select("lang", F.explode(pairs).alias("phrase"))
         ).unionByName(best.select("lang", F.explode(parts).alias("phrase")))
-        marks = _Marks.of(frontier)
+        marks = Marks.of(frontier)
         grown = grown | marks
         found = _summed(texts.mapInArrow(_count_phrases(common, marks, grown), schema), min_count, "phrases")
         # What each phrase says about the two that are a word shorter.

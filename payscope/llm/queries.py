@@ -276,3 +276,38 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     from payscope.llm.collocations import collocations
 
     return collocations(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH split AS (
+  SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark
+), words AS (
+  SELECT kind, id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM split
+), totals AS (SELECT count(*) AS nn, CAST(sum(len(w)) AS BIGINT) AS ll FROM words WHERE kind = 'd' AND len(w) > 0),
+asked AS MATERIALIZED (SELECT DISTINCT id AS item_id, unnest(w) AS term FROM words WHERE kind = 'i'),
+postings AS MATERIALIZED (
+  SELECT id AS doc_id, term, n, count(*) AS tf
+  FROM (SELECT id, len(w) AS n, unnest(w) AS term FROM words WHERE kind = 'd')
+  WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS weight
+  FROM postings, totals GROUP BY term, nn
+), parts AS (
+  SELECT doc_id, term, weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nn) // ll))) AS part
+  FROM postings JOIN weights USING (term), totals
+), scores AS (
+  SELECT item_id, doc_id, CAST(sum(part) AS BIGINT) AS score FROM asked JOIN parts USING (term) GROUP BY item_id, doc_id
+), ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+  FROM scores WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 10"""
+
+
+@register("op12_lexical_search", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from payscope.llm.lexical_search import search
+
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
