@@ -117,30 +117,30 @@ def plan(counts: dict[int, int], capacity: int) -> list[Group]:
 
 
 def _pieces(tokenizer: str, end_id: int, capacity: int):
-    end = np.array([end_id], "<u4").tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer, True)
-        task, seen = TaskContext.get().partitionId(), [0] * (capacity + 1)
+        task, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for part in slices(batches, "text", SLICE_BYTES):
-            rows: list[tuple] = []
-            ids = encode(part.column("text").to_pylist())
-            for doc_id, found in zip(part.column("doc_id").to_pylist(), ids):
-                found = memoryview(found + end)
-                n = len(found) // 4
-                first = (n - 1) % capacity + 1
-                cuts = [0, *range(first, n + 1, capacity)]
-                for piece, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                    crc = zlib.crc32(found[4 * a : 4 * b])
-                    rows.append((doc_id, piece, a, b - a, crc, task, seen[b - a]))
-                    seen[b - a] += 1
+            flat, begins = encode(part.column("text"), end_id)
+            n = np.diff(begins)
+            pieces = -(-n // capacity)
+            doc = np.repeat(np.arange(len(n)), pieces)
+            piece = np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            # The first piece takes what the full ones leave.
+            start = np.maximum(n[doc] - (pieces[doc] - piece) * capacity, 0)
+            length = n[doc] - (pieces[doc] - piece - 1) * capacity - start
+            places = (begins[doc] + start).tolist()
+            bytes_ = memoryview(flat.astype("<u4").tobytes())
+            crc = [zlib.crc32(bytes_[4 * a : 4 * (a + b)]) for a, b in zip(places, length.tolist())]
+            order = np.argsort(length, kind="stable")
+            among = np.arange(len(length)) - np.searchsorted(length[order], length[order])
+            rank = np.empty(len(length), np.int64)
+            rank[order] = among + seen[length[order]]
+            seen += np.bincount(length, minlength=capacity + 1)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(column, kind)
-                    for column, kind in zip(
-                        zip(*rows),
-                        [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()],
-                    )
+                    part.column("doc_id").take(pa.array(doc)), pa.array(piece, pa.int32()), pa.array(start),
+                    pa.array(length), pa.array(crc, pa.int64()), pa.array(np.full(len(doc), task, np.int32)), pa.array(rank),
                 ],
                 names=["doc_id", "piece", "start", "length", "ids_crc32", "task", "rank"],
             )

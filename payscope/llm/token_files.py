@@ -67,39 +67,40 @@ _BLOCKS = "shard int, block int, first long, doc_ids array<long>, n_tokens array
 
 def _id_blocks(tokenizer: str, blanks: bool, end_id: int, wide: bool):
     dtype = "<u4" if wide else "<u2"
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode_texts = encoder(tokenizer, blanks)
         shard, block, first = TaskContext.get().partitionId(), 0, 0
-        held: list[bytes] = []
-        ids: list[int | None] = []
+        held: list[np.ndarray] = []
+        sizes: list[np.ndarray] = []
+        ids: list[pa.Array] = []
         waiting = 0
 
         def flush():
-            nonlocal block, first, held, ids, waiting
-            flat = np.frombuffer(b"".join(held), "<u4")
-            row = pa.RecordBatch.from_pydict(
-                {
-                    "shard": pa.array([shard], pa.int32()),
-                    "block": pa.array([block], pa.int32()),
-                    "first": pa.array([first], pa.int64()),
-                    "doc_ids": pa.array([ids], pa.list_(pa.int64())),
-                    "n_tokens": pa.array([[len(h) // 4 for h in held]], pa.list_(pa.int32())),
-                    "ids": pa.array([flat.astype(dtype).tobytes()], pa.binary()),
-                }
+            nonlocal block, first, held, sizes, ids, waiting
+            flat, doc_ids, n = np.concatenate(held), pa.concat_arrays(ids), np.concatenate(sizes)
+            row = pa.RecordBatch.from_arrays(
+                [
+                    pa.array([shard], pa.int32()),
+                    pa.array([block], pa.int32()),
+                    pa.array([first], pa.int64()),
+                    pa.ListArray.from_arrays(pa.array([0, len(n)], pa.int32()), doc_ids),
+                    pa.ListArray.from_arrays(pa.array([0, len(n)], pa.int32()), pa.array(n, pa.int32())),
+                    pa.array([flat.tobytes()], pa.binary()),
+                ],
+                names=["shard", "block", "first", "doc_ids", "n_tokens", "ids"],
             )
-            block, first, held, ids, waiting = block + 1, first + len(flat), [], [], 0
+            block, first, held, sizes, ids, waiting = block + 1, first + len(flat), [], [], [], 0
             return row
 
         for part in slices(batches, "text", SLICE_BYTES):
-            texts = part.column("text").to_pylist()
-            for doc_id, found in zip(part.column("doc_id").to_pylist(), encode_texts(texts)):
-                held.append(found + end)
-                ids.append(doc_id)
-                waiting += len(held[-1]) // 4
-                if waiting >= BLOCK_IDS:
-                    yield flush()
+            flat, begins = encode_texts(part.column("text"), end_id)
+            held.append(flat.astype(dtype))
+            sizes.append(np.diff(begins))
+            ids.append(part.column("doc_id"))
+            waiting += len(flat)
+            if waiting >= BLOCK_IDS:
+                yield flush()
         if held:
             yield flush()
 

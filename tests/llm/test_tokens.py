@@ -124,3 +124,41 @@ def test_packing(docs, rows, capacity):
     total = sum(r.length for r in got)
     assert len(sequences) <= -(-total // capacity) + 3
     assert all(a is not b for a, b in combinations(sequences.values(), 2))
+
+
+ODD_TEXTS = [
+    "", " ", "\n \n", "a", " a", "a ", "a  b\n\nc ", "tab\there and  more", "x\x0b", "é x  y", " em", "“curly” – dash…  x",
+    "　wide", "İstanbul  I", "Å Å Å", "don't <|endoftext|> stop", "日本語 テキスト  です", "z" * 5000, "a\x1cb c", "\x00 \x7f ﻿ b",
+    "Straße\u0085neu", "\U0001f600 \U0001f600x", "1 000 000  20.5", "ΑΣ ΣΑΣ", "é x\r\ny",
+]
+
+
+@pytest.mark.parametrize("name, blanks", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_encoder_gives_the_ids_of_the_library(name, blanks, monkeypatch):
+    import pyarrow as pa
+
+    from payscope.llm import tokens
+
+    texts = [*ODD_TEXTS, *[a + b for a in ODD_TEXTS[:12] for b in ODD_TEXTS], "nb" * 2_500_000]
+    want = library_ids(name, texts, 7)
+    for limit in (tokens.CACHE_BYTES, 0):
+        monkeypatch.setattr(tokens, "CACHE_BYTES", limit)
+        encode = tokens.Encoder(vocabulary(name), blanks)
+        for _ in range(2):
+            batch = pa.array(["sliced off", *texts]).slice(1)
+            ids, begins = encode(batch, 7)
+            assert [ids[a:b].tolist() for a, b in zip(begins, begins[1:])] == want
+        assert all(len(p) <= tokens.LONG for p in encode._entries)
+    assert encode(pa.array([], pa.string()), 7)[0].tolist() == []
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(st.sampled_from("aB é\n\t  İ'1.́"), max_size=20), max_size=6))
+def test_encoder_on_any_texts(texts):
+    import pyarrow as pa
+
+    from payscope.llm import tokens
+
+    for name, blanks in (("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)):
+        ids, begins = tokens.encoder(vocabulary(name), blanks)(pa.array(texts, pa.string()), 7)
+        assert [ids[a:b].tolist() for a, b in zip(begins, begins[1:])] == library_ids(name, texts, 7)
