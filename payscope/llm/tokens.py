@@ -1,15 +1,18 @@
 """Tokenizing whole texts inside tasks, a batch of texts at a time.
 
 Neither of the two vocabularies ever joins characters across the start of a run of blanks and line
-ends, so a text's ids are those of its pieces (a run of blanks and line ends with the word behind
-it) one after the other. Numpy cuts a batch into pieces, Arrow codes them, and only distinct ones are looked up in a
-cache or go through the tokenizers library; a gather over the cached ids gives the batch. Texts that hold any
-other white space are one piece and encoded whole by the library.
+ends, or from a letter or digit to a mark other than the apostrophe or back (all three of ASCII). So a text's ids are
+those of its pieces, cut at these places, one after the other. Numpy cuts a batch into pieces, Arrow codes
+them, and only distinct ones are looked up in a cache or go through the tokenizers library; a gather over the
+cached ids gives the batch. A piece that is one Latin word goes straight to the library's model, as normal form and
+splitting leave it as it is. Texts that hold any other white space or the name of a special token are one piece
+and encoded whole.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from itertools import chain
 
 import numpy as np
@@ -19,11 +22,20 @@ from payscope.llm.hashing import LOWER
 
 # A worker's cache is emptied beyond so many bytes, counting an entry as its text, its ids and ENTRY_BYTES;
 # longer pieces than LONG bytes never enter it.
-CACHE_BYTES, ENTRY_BYTES, LONG = 80 << 20, 160, 256
+CACHE_BYTES, ENTRY_BYTES, LONG = 120 << 20, 160, 256
 _ENCODERS: dict[tuple[str, bool], "Encoder"] = {}
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, 0x0A]] = True
+_ALNUM, _MARK = np.zeros((2, 256), bool)
+_ALNUM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_MARK[[c for c in range(0x21, 0x7F) if not _ALNUM[c] and c != ord("'")]] = True
+# Words that are letters alone, by vocabulary: of lower case, and behind at most one blank.
+_BARE_WORD = re.compile("[a-zß-öø-ÿ]+")
+_WORD = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ɏ]+")
+# How byte-level vocabularies write bytes; those that do not print follow from 256 on.
+_PRINTS = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_WRITTEN = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTS)}
 # White space other than blanks and line ends: single bytes, and by their first byte the longer codes.
 _ODD = np.zeros(256, bool)
 _ODD[[0x09, 0x0B, 0x0C, 0x0D, *range(0x1C, 0x20)]] = True
@@ -54,6 +66,9 @@ class Encoder:
 
         self._library = Tokenizer.from_file(path)
         self._blanks = blanks
+        # A text with one of these is odd, too: the library finds them before it splits.
+        added = [t.content for t in self._library.get_added_tokens_decoder().values()]
+        self._added = re.compile("|".join(map(re.escape, added)).encode())
         self._forget()
 
     def _forget(self) -> None:
@@ -70,9 +85,13 @@ class Encoder:
         before = np.append(True, blank[:-1])[: len(data)]
         cut = blank & ~before if self._blanks else ~blank & before
         begins = offsets[:-1][offsets[1:] > offsets[:-1]]
+        # Between a letter or digit and a mark.
+        alnum, mark = _ALNUM[data], _MARK[data]
+        cut[1:] |= (alnum[1:] & mark[:-1]) | (mark[1:] & alnum[:-1])
         cut[begins] = True if self._blanks else ~blank[begins]
         keep = None if self._blanks else ~blank
-        odd = np.unique(np.searchsorted(offsets, _odd_places(data), "right") - 1)
+        places = np.append(_odd_places(data), [m.start() for m in self._added.finditer(data.tobytes())]).astype(np.int64)
+        odd = np.unique(np.searchsorted(offsets, places, "right") - 1)
         for k in odd:
             a, b = offsets[k], offsets[k + 1]
             cut[a:b] = False
@@ -92,7 +111,13 @@ class Encoder:
 
     def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all one after the other, how many each has)."""
-        ids = [x.ids for x in self._library.encode_batch_fast(pieces, add_special_tokens=False)]
+        model, plain = self._library.model.tokenize, (_WORD if self._blanks else _BARE_WORD).fullmatch
+        ids = [
+            [t.id for t in model(p.encode().decode("latin-1").translate(_WRITTEN))] if plain(p) else None for p in pieces
+        ]
+        rest = [i for i, x in enumerate(ids) if x is None]
+        for i, found in zip(rest, self._library.encode_batch_fast([pieces[i] for i in rest], add_special_tokens=False)):
+            ids[i] = found.ids
         size = np.fromiter(map(len, ids), np.int64, len(ids))
         return np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum())), size
 
