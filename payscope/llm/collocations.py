@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from payscope.llm.common import on_workers, slices, stored
+from payscope.llm.common import on_workers, released, slices, stored
 from payscope.llm.marks import MAX_WORDS, Marks, chained, split_words, text_hash
 
 TOP, MIN_COUNT = 2000, 30
@@ -57,6 +57,7 @@ def _by_lang(part: pa.RecordBatch) -> Iterator[tuple[str, list[str]]]:
         yield lang, part.column("text").filter(pc.equal(langs.indices, k)).to_pylist()
 
 
+@released
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in slices(batches, "text", SLICE_BYTES):
         for lang, texts in _by_lang(part):
@@ -123,7 +124,7 @@ def _count_phrases(common: Marks, expand: Marks | None, grown: Marks | None):
                 four = three & np.roll(joined, -2) & (marked | np.roll(marked, -1))
                 yield _stretch(one, np.flatnonzero(four), 4).rows(lang)
 
-    return run
+    return released(run)
 
 
 def _stretch(one: _Runs, at: np.ndarray, size: int) -> _Runs:

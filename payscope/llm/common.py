@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -55,6 +56,23 @@ def picked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+def released(run: Callable) -> Callable:
+    """A task over Arrow batches that, when it ends, gives its worker's free memory back to the system:
+    workers outlive tasks and stages, and share their executor's memory with those of other stages."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # not glibc
+                pass
+
+    return wrapped
+
+
 HOT_NODES = 1000
 SLICE_ROWS = 1 << 15
 

@@ -1,7 +1,7 @@
 """Word and window hashes of whole batches of texts by numpy, without a loop over words.
 
-A prefix sum of byte codes times powers of an odd number gives the polynomial hash (modulo 2^64) of
-any stretch as a difference of two sums, moved to a common power; a final mix spreads the bits.
+A prefix sum of byte codes times powers of a base gives the polynomial hash of any stretch as a difference of
+two sums, moved to a common power; a final mix spreads the bits.
 """
 
 from __future__ import annotations
@@ -36,8 +36,9 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class Prefix:
-    """Hashes of any stretches of a sequence of 64-bit symbols."""
+class Rough:
+    """Hashes of short stretches of 64-bit symbols, modulo 2^64: to choose places by, never to tell stretches apart
+    (long texts over two symbols can be built that share them)."""
 
     def __init__(self, symbols: np.ndarray) -> None:
         n = len(symbols)
@@ -50,6 +51,51 @@ class Prefix:
         return mixed((self._sums[end] - self._sums[start]) * self._back[start])
 
 
+_PRIME, _SHIFT = (1 << 31) - 1, np.uint64(31)
+_LOW = np.uint64(_PRIME)
+_BASES = [int(x) for x in _RANDOM.integers(1 << 20, _PRIME - 1, 2)]
+_TABLES: dict[int, np.ndarray] = {}
+
+
+def _folded(x: np.ndarray) -> np.ndarray:
+    """Equal modulo 2^31 - 1, and less than 2^31 + 4."""
+    x = (x & _LOW) + (x >> _SHIFT)
+    return (x & _LOW) + (x >> _SHIFT)
+
+
+def _table(base: int, n: int) -> np.ndarray:
+    """base^0 .. base^(n-1) modulo 2^31 - 1."""
+    found = _TABLES.get(base, np.ones(1, np.uint32))
+    while len(found) < n:
+        more = _folded(found.astype(np.uint64) * np.uint64(pow(base, len(found), _PRIME)))
+        found = np.append(found, (more % _LOW).astype(np.uint32))
+    _TABLES[base] = found
+    return found[:n]
+
+
+class Prefix:
+    """Hashes of any stretches of a sequence of 64-bit symbols: two polynomials modulo the prime 2^31 - 1 with
+    bases and symbol values of their own, so that no structure of the text, as of periodic or of Thue-Morse words,
+    makes different stretches equal more often than chance."""
+
+    def __init__(self, symbols: np.ndarray) -> None:
+        n = len(symbols)
+        self._sums, self._back = [], []
+        for base, values in zip(_BASES, (symbols, symbols >> np.uint64(32))):
+            sums = np.zeros(n + 1, np.uint64)
+            np.cumsum(_folded(_folded(values) * _table(base, n)), out=sums[1:])
+            self._sums.append(sums)
+            self._back.append(_table(pow(base, -1, _PRIME), n + 1))
+
+    def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Of [start, end); equal stretches give equal hashes wherever they stand."""
+        found = []
+        for sums, back in zip(self._sums, self._back):
+            x = _folded(_folded(sums[end] - sums[start]) * back[start])
+            found.append(np.where(x >= _LOW, x - _LOW, x))
+        return mixed(found[0] << _SHIFT | found[1])
+
+
 def byte_codes(data: np.ndarray) -> np.ndarray:
     return _CODES[data]
 

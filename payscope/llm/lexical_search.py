@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from payscope.llm.common import on_workers, scratch, slices, spread_join, stored
+from payscope.llm.common import on_workers, released, scratch, slices, spread_join, stored
 from payscope.llm.marks import Marks, chained, split_words, text_hash
 
 K, BLOCK, GROWTH = 10, 1024, 8
@@ -67,7 +67,7 @@ def _postings(wanted: Marks):
             one += [pa.array([int(x)], pa.int64()) for x in ((n > 0).sum(), n.sum())]
             yield pa.RecordBatch.from_arrays(one, names=["row", "doc_id", "term", "tf", "n"])
 
-    return run
+    return released(run)
 
 
 def query_terms(queries: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from payscope.llm.common import components, picked, slices, spread_join, stored, tasks
+from payscope.llm.common import components, picked, released, slices, spread_join, stored, tasks
 from payscope.llm.hashing import LOWER, mixed, window_hashes, word_hashes
 
 WORDS, THRESHOLD, TOLERANCE = 5, 0.8, 1e-9
@@ -165,13 +165,14 @@ def _prints(with_set: bool):
                 names += ["root", "members", "wanted", "shingles"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return run
+    return released(run)
 
 
 def _signatures_of(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<u4").reshape(-1, VALUES)
 
 
+@released
 def _band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         values = _signatures_of(batch.column("signature")).reshape(-1, BANDS, BAND_ROWS).astype(np.uint64)
@@ -236,7 +237,7 @@ def _linked(key: str, threshold: float, tolerance: float, exact: bool):
                 names=["a", "b", "links"],
             )
 
-    return run
+    return released(run)
 
 
 def _intersections(table: pa.Table, group: np.ndarray):

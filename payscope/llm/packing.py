@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from payscope.llm.common import picked, slices, stored
+from payscope.llm.common import picked, released, slices, stored
 from payscope.llm.tokens import encoder
 
 SLICE_BYTES = 4 << 20
@@ -145,7 +145,7 @@ def _pieces(tokenizer: str, end_id: int, capacity: int):
                 names=["doc_id", "piece", "start", "length", "ids_crc32", "task", "rank"],
             )
 
-    return run
+    return released(run)
 
 
 def _places(groups: list[Group]) -> dict[int, np.ndarray]:
@@ -181,7 +181,7 @@ def _placed(places: dict[int, np.ndarray]):
                 names=[*batch.schema.names[:5], "sequence_id", "offset"],
             )
 
-    return run
+    return released(run)
 
 
 def pack(

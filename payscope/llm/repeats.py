@@ -23,8 +23,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from payscope.llm.common import picked, slices, stored, tasks
-from payscope.llm.hashing import Prefix, mixed
+from payscope.llm.common import picked, released, slices, stored, tasks
+from payscope.llm.hashing import Prefix, Rough, mixed
 
 SLICE_BYTES = 1 << 20
 FLUSH_ITEMS, FLUSH_DOCS = 1 << 19, 60_000
@@ -59,7 +59,7 @@ def anchored(symbols: np.ndarray, begins: np.ndarray, n: int, pick: int, gram: i
     at = np.arange(len(symbols) - gram + 1)
     bits = np.uint64(len(symbols).bit_length())
     # The place in the low bits: of equal hashes the first wins.
-    least = prefix.hashes(at, at + gram) >> bits << bits | at.astype(np.uint64)
+    least = Rough(symbols).hashes(at, at + gram) >> bits << bits | at.astype(np.uint64)
     width = 1
     while 2 * width <= pick:
         least = np.minimum(least[:-width], least[width:])
@@ -86,7 +86,7 @@ def _unpacked_docs(data: bytes) -> np.ndarray:
 class Settling:
     """What a set of items decides: which are repeated (or not the first), and which go on.
 
-    ``key`` repeats; ``first_stays``: the earliest of equal keys is not marked itself. ``width``: symbols
+    ``core`` and ``key`` together repeat (equal stretches have equal cores); ``first_stays``: the earliest of equal keys is not marked itself. ``width``: symbols
     that a start marks. ``opens``: findings are starts to look into, not marks.
     """
 
@@ -95,10 +95,10 @@ class Settling:
 
     def __call__(self, items: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(positions of findings, positions of one item for each key, the earliest)."""
-        order = np.lexsort((items["begin"], rank[items["doc"]], items["key"]))
-        key = items["key"][order]
+        order = np.lexsort((items["begin"], rank[items["doc"]], items["core"], items["key"]))
+        key, core = items["key"][order], items["core"][order]
         new = np.ones(len(key), bool)
-        new[1:] = key[1:] != key[:-1]
+        new[1:] = (key[1:] != key[:-1]) | (core[1:] != core[:-1])
         hit = ~new
         if not self.first_stays:
             hit[:-1] |= hit[1:]
@@ -170,7 +170,7 @@ def send(make: Callable, settle: Settling, buckets: int):
         if docs:
             yield from flush()
 
-    return run
+    return released(run)
 
 
 def _ranks(docs: np.ndarray) -> np.ndarray:
@@ -214,7 +214,7 @@ def receive(decide: Callable):
         if rows:
             yield settled(rows)
 
-    return run
+    return released(run)
 
 
 def exchange(rows: DataFrame, decide: Callable, name: str) -> DataFrame:
@@ -268,6 +268,7 @@ def starts_of(symbols: Symbols, n: int):
     return make
 
 
+@released
 def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pack = zstandard.ZstdCompressor(level=3).compress
     for part in slices(batches, "text", SLICE_BYTES):
@@ -319,7 +320,7 @@ def finish(rows: DataFrame, marks: DataFrame, report: Callable, schema: str) ->
                     [part.column("doc_id"), *map(pa.array, columns.values())], names=["doc_id", *columns]
                 )
 
-    return with_texts(rows, marks, "left").mapInArrow(run, f"doc_id long, {schema}")
+    return with_texts(rows, marks, "left").mapInArrow(released(run), f"doc_id long, {schema}")
 
 
 def settle_bucket(settle: Settling):

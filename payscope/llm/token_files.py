@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from payscope.llm.common import picked, scratch, slices, stored, tasks
+from payscope.llm.common import picked, released, scratch, slices, stored, tasks
 from payscope.llm.tokens import encoder
 
 BLOCK_IDS = 1 << 18
@@ -104,7 +104,7 @@ def _id_blocks(tokenizer: str, blanks: bool, end_id: int, wide: bool):
         if held:
             yield flush()
 
-    return run
+    return released(run)
 
 
 def _counts(dtype: str, n_ids: int):
@@ -116,7 +116,7 @@ def _counts(dtype: str, n_ids: int):
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"id": seen, "n": total[seen]})
 
-    return run
+    return released(run)
 
 
 def _coded(dtype: str, rank_of: np.ndarray):
@@ -130,7 +130,7 @@ def _coded(dtype: str, rank_of: np.ndarray):
                 names=[*batch.schema.names[:5], "control", "data"],
             )
 
-    return run
+    return released(run)
 
 
 def _decoded(id_of: np.ndarray):
@@ -157,7 +157,7 @@ def _decoded(id_of: np.ndarray):
                     }
                 )
 
-    return run
+    return released(run)
 
 
 @dataclass(frozen=True)

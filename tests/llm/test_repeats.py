@@ -161,3 +161,21 @@ def test_wide(make_docs, rows, width):
     rows = [*((i, t, "en", "s") for i, t in unique_ids(rows)), (2000, text, "en", "s"), (2001, "x " + text, "en", "s")]
     found = substring_dedup(make_docs(rows), width).collect()
     assert Counter(map(tuple, found)) == Counter(words_left([r[:2] for r in rows], width))
+
+
+def test_thue_morse_words_differ(make_docs):
+    """Windows whose first words are a Thue-Morse word and its complement are different windows."""
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(4096))
+    other = word.translate(str.maketrans("ab", "ba"))
+    rest = " ".join(f"r{i}" for i in range(34))
+    for size in (64, 512, 1024, 4096):
+        docs = make_docs([(1, f"{word[:size]} {rest}", "en", "s"), (2, f"{other[:size]} {rest}", "en", "s")])
+        assert {r.n_removed for r in substring_dedup(docs).collect()} == {0}
+        import numpy as np
+
+        from payscope.llm.hashing import Prefix, byte_codes
+
+        for a, b in ((word, other), (word[:size], other[:size])):
+            codes = byte_codes(np.frombuffer((a + b).encode(), np.uint8))
+            x, y = Prefix(codes).hashes(np.array([0, len(a)]), np.array([len(a), 2 * len(a)]))
+            assert x != y
