@@ -59,15 +59,18 @@ _TABLES: dict[int, np.ndarray] = {}
 
 def _folded(x: np.ndarray) -> np.ndarray:
     """Equal modulo 2^31 - 1, and less than 2^31 + 4."""
-    x = (x & _LOW) + (x >> _SHIFT)
-    return (x & _LOW) + (x >> _SHIFT)
+    for _ in range(2):
+        high = x >> _SHIFT
+        x = x & _LOW
+        x += high
+    return x
 
 
 def _table(base: int, n: int) -> np.ndarray:
     """base^0 .. base^(n-1) modulo 2^31 - 1."""
     found = _TABLES.get(base, np.ones(1, np.uint32))
     while len(found) < n:
-        more = _folded(found.astype(np.uint64) * np.uint64(pow(base, len(found), _PRIME)))
+        more = _folded(found[: n - len(found)].astype(np.uint64) * np.uint64(pow(base, len(found), _PRIME)))
         found = np.append(found, (more % _LOW).astype(np.uint32))
     _TABLES[base] = found
     return found[:n]
@@ -81,9 +84,11 @@ class Prefix:
     def __init__(self, symbols: np.ndarray) -> None:
         n = len(symbols)
         self._sums, self._back = [], []
-        for base, values in zip(_BASES, (symbols, symbols >> np.uint64(32))):
+        for base, shift in zip(_BASES, (0, 32)):
+            values = _folded(symbols >> np.uint64(shift))
+            values *= _table(base, n)
             sums = np.zeros(n + 1, np.uint64)
-            np.cumsum(_folded(_folded(values) * _table(base, n)), out=sums[1:])
+            np.cumsum(_folded(values), out=sums[1:])
             self._sums.append(sums)
             self._back.append(_table(pow(base, -1, _PRIME), n + 1))
 

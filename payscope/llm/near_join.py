@@ -34,7 +34,7 @@ WORDS, THRESHOLD, TOLERANCE = 5, 0.8, 1e-9
 BANDS, BAND_ROWS, STEP = 32, 3, 16
 VALUES = BANDS * BAND_ROWS
 BAND_BLOCK, FAMILY_BLOCK = 1024, 256
-SLICE_BYTES, PAIRS = 2 << 20, 200_000
+SLICE_BYTES, PAIRS = 1 << 19, 200_000
 _RANDOM = np.random.default_rng(7)
 _FLIPS = _RANDOM.integers(0, 1 << 63, VALUES, dtype=np.uint64)
 _FACTORS = _RANDOM.integers(0, 1 << 63, VALUES, dtype=np.uint64) | np.uint64(1)

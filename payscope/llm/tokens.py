@@ -22,7 +22,7 @@ from payscope.llm.hashing import LOWER
 
 # A worker's cache is emptied beyond so many bytes, counting an entry as its text, its ids and ENTRY_BYTES;
 # longer pieces than LONG bytes never enter it.
-CACHE_BYTES, ENTRY_BYTES, LONG = 120 << 20, 160, 256
+CACHE_BYTES, ENTRY_BYTES, LONG = 64 << 20, 160, 256
 _ENCODERS: dict[tuple[str, bool], "Encoder"] = {}
 
 _BLANK = np.zeros(256, bool)
