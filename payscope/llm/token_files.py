@@ -27,7 +27,8 @@ from payscope.llm.common import picked, released, scratch, slices, stored, tasks
 from payscope.llm.tokens import encoder
 
 BLOCK_IDS = 1 << 18
-SLICE_BYTES = 2 << 20
+# No other work of this operator takes memory in Python, so its cache may be larger.
+SLICE_BYTES, CACHE_BYTES = 4 << 20, 120 << 20
 
 # For each control byte: bytes of its four ids, and for each of 16 output bytes its place in the data
 # of the group, counted from 1; bytes that are not stored point far before the zero that stands first.
@@ -69,7 +70,7 @@ def _id_blocks(tokenizer: str, blanks: bool, end_id: int, wide: bool):
     dtype = "<u4" if wide else "<u2"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode_texts = encoder(tokenizer, blanks)
+        encode_texts = encoder(tokenizer, blanks, CACHE_BYTES)
         shard, block, first = TaskContext.get().partitionId(), 0, 0
         held: list[np.ndarray] = []
         sizes: list[np.ndarray] = []

@@ -69,6 +69,7 @@ class Encoder:
         # A text with one of these is odd, too: the library finds them before it splits.
         added = [t.content for t in self._library.get_added_tokens_decoder().values()]
         self._added = re.compile("|".join(map(re.escape, added)).encode())
+        self.cache_bytes: int | None = None
         self._forget()
 
     def _forget(self) -> None:
@@ -123,7 +124,7 @@ class Encoder:
 
     def _looked_up(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, where each piece's begin, how many each has)."""
-        if self._bytes > CACHE_BYTES:
+        if self._bytes > (CACHE_BYTES if self.cache_bytes is None else self.cache_bytes):
             self._forget()
         entries = self._entries
         number = np.fromiter((entries.get(p, -1) for p in pieces), np.int64, len(pieces))
@@ -160,8 +161,10 @@ class Encoder:
         return found, np.append(0, ends)
 
 
-def encoder(path: str, blanks: bool) -> Encoder:
-    """One encoder per vocabulary and Python worker."""
+def encoder(path: str, blanks: bool, cache_bytes: int | None = None) -> Encoder:
+    """One encoder per vocabulary and Python worker; its cache takes ``CACHE_BYTES`` unless told otherwise."""
     if (path, blanks) not in _ENCODERS:
         _ENCODERS[path, blanks] = Encoder(path, blanks)
-    return _ENCODERS[path, blanks]
+    found = _ENCODERS[path, blanks]
+    found.cache_bytes = cache_bytes
+    return found
