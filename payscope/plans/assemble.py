@@ -17,6 +17,8 @@ from payscope.sources.schema import ID
 from payscope.sources.tables import scratch_path
 
 PARTNERS_PER_ID = PER_ID.columns[0]
+# Repeated keys are marked in a bitmap of this many words of 64 bits, some 50 MB as a broadcast.
+MARK_WORDS = 1 << 20
 
 
 def assemble_features(
@@ -108,26 +110,61 @@ def key_counts(source: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def _bit(key: Column) -> tuple[Column, Column]:
+    """Word of the bitmap, and place in it, of a key."""
+    key_hash = F.xxhash64(key)
+    word = key_hash.bitwiseAND(F.lit(MARK_WORDS - 1).cast("long"))
+    return word, F.call_function("shiftrightunsigned", key_hash, F.lit(58)).cast("int")
+
+
+def repeated_marks(keys: DataFrame) -> DataFrame:
+    """A Bloom filter of one hash over the column ``key``: __word, __bits, at most ``MARK_WORDS`` rows."""
+    word, place = _bit(F.col("key"))
+    mark = F.call_function("shiftleft", F.lit(1).cast("long"), place)
+    return keys.groupBy(word.alias("__word")).agg(F.bit_or(mark).alias("__bits"))
+
+
+def _only_repeated(records: DataFrame, marks: DataFrame, kinds: list[str]) -> DataFrame:
+    """``records`` without those of the given kinds whose key is not marked."""
+    word, place = _bit(F.col("key"))
+    marked = F.call_function("shiftright", F.col("__bits"), place).bitwiseAND(F.lit(1)) == 1
+    return (
+        records.join(F.broadcast(marks), word == F.col("__word"), "left")
+        .where(~F.col("kind").isin(*kinds) | F.coalesce(marked, F.lit(False)))
+        .drop("__word", "__bits")
+    )
+
+
 def _with_stats(source: DataFrame, hot_rows: int | None) -> DataFrame:
     """The payments with the statistics of all their keys, and the number of partners per id.
 
-    The counts are written to the shared folder once, when the plan is built. Hot keys meet theirs on
+    The counts are written to the shared folder once, when the frame is built, by a job of their own:
+    a frame kept while the payments change mixes old counts with new rows. Hot keys meet theirs on
     the payment row, by broadcast. Of each payment one narrow record and one for each other key go
     to the counts and come back by id, where they are put together and meet the full rows; these
-    are shuffled once, or not at all where payments are bucketed by id. The facts are scanned four
+    are shuffled once, or not at all where payments are bucketed by id. A key that is only counted
+    and occurs once needs no look-up: a bitmap of all repeated keys, which misses none of them, keeps
+    its record from being sent, and what meets no count at all has occurred once. Where there are too
+    many repeated keys for the bitmap to tell much, all records are sent; the counts that they meet
+    are those of repeated keys either way. The facts are scanned four
     times: for the counts, for the customers of channels, for the narrow records, and in full.
     """
     spark = source.sparkSession
     path = scratch_path(spark, "key-counts")
     key_counts(source).write.parquet(path)
     counts = spark.read.parquet(path)
+    only_counted = [s.name for s in _key_stats() if s.counted is not None]
+    once = F.col("kind").isin(*only_counted) & (F.col(frequency.ROWS) == 1)
     # One row per family.
-    totals = counts.groupBy("kind").agg(F.sum(frequency.ROWS), F.max(frequency.ROWS)).collect()
-    total = max((n for _, n, _ in totals), default=0)
+    totals = counts.groupBy("kind").agg(
+        F.sum(frequency.ROWS), F.max(frequency.ROWS), F.count_if(~once)
+    ).collect()
+    total = max((n for _, n, _, _ in totals), default=0)
+    repeated = sum(n for _, _, _, n in totals)
     limit = max(frequency.least_hot(hot_rows), -(-total // frequency.MAX_HOT_KEYS))
-    has_hot = {kind for kind, _, most in totals if most >= limit}
+    has_hot = {kind for kind, _, most, _ in totals if most >= limit}
     hot = counts.where(F.col(frequency.ROWS) >= limit).drop(frequency.ROWS)
-    cold = counts.where(F.col(frequency.ROWS) < limit).drop(frequency.ROWS, "kind")
+    cold = counts.where((F.col(frequency.ROWS) < limit) & ~once).drop(frequency.ROWS, "kind")
     partner = F.col("Partner").isNotNull().cast("int")
     keys = F.array(
         F.struct(F.lit("id").alias("kind"), F.col(ID).alias("key"), partner.alias("partner")),
@@ -137,6 +174,9 @@ def _with_stats(source: DataFrame, hot_rows: int | None) -> DataFrame:
         ],
     )
     records = source.where(F.col(ID).isNotNull()).select(ID, F.inline(keys))
+    if repeated < 64 * MARK_WORDS:
+        marks = repeated_marks(counts.where(F.col("kind").isin(*only_counted) & ~once))
+        records = _only_repeated(records, marks, only_counted)
     if has_hot:
         records = records.join(F.broadcast(hot.select("key")), "key", "left_anti")
     met = records.join(cold, "key", "left")
@@ -166,4 +206,9 @@ def _with_stats(source: DataFrame, hot_rows: int | None) -> DataFrame:
         rows = rows.join(F.broadcast(mine), _kind_key(s) == F.col("__hot_key"), "left").withColumns(
             {c: F.coalesce(c, f"__hot{c}") for c in s.columns}
         ).drop("__hot_key", *[f"__hot{c}" for c in s.columns])
-    return rows
+    # What met no count has a key of its own.
+    alone = {
+        s.columns[0]: F.coalesce(s.columns[0], s.counted(s.key()).cast("long"))
+        for s in _key_stats() if s.counted is not None
+    }
+    return rows.withColumns(alone)

@@ -48,17 +48,91 @@ def write_features(
 ) -> None:
     """Replaces the feature table, or the parquet files at ``path``.
 
+    The rows are written beside the old ones and take their place only when all are there: a run that
+    fails leaves the old table or files as they were, and ``features`` may read what it replaces. The
+    change is two renames. Where a run dies between them, the old rows lie under the name with
+    ``__previous``; the next call puts them back before it writes. One call at a time for a name.
     A table can be bucketed by payment id, which spares later joins on the id their shuffle.
     """
     if (table is None) == (path is None):
         raise ValueError("give either a table or a path")
-    writer = features.write.mode("overwrite").format("parquet")
-    if table is None:
-        writer.save(path)
-    elif buckets:
-        writer.bucketBy(buckets, ID).sortBy(ID).saveAsTable(table)
+    if table is not None:
+        names, name = _Tables(features.sparkSession), table
     else:
-        writer.saveAsTable(table)
+        names, name = _Folders(features.sparkSession), path.rstrip("/")
+    staged = _beside(name, f"__staged_{uuid.uuid4().hex}")
+    previous = _beside(name, "__previous")
+    if names.exists(previous):
+        if names.exists(name):
+            names.drop(previous)
+        else:
+            names.rename(previous, name)
+    writer = features.write.format("parquet")
+    try:
+        if table is None:
+            writer.save(staged)
+        elif buckets:
+            writer.bucketBy(buckets, ID).sortBy(ID).saveAsTable(staged)
+        else:
+            writer.saveAsTable(staged)
+    except BaseException:
+        names.drop(staged)
+        raise
+    if names.exists(name):
+        names.rename(name, previous)
+    try:
+        names.rename(staged, name)
+    except BaseException:
+        if names.exists(previous):
+            names.rename(previous, name)
+        names.drop(staged)
+        raise
+    names.drop(previous)
+
+
+def _beside(name: str, suffix: str) -> str:
+    return f"{name[:-1]}{suffix}`" if name.endswith("`") else name + suffix
+
+
+class _Tables:
+    """Tables of the catalog by name."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+
+    def exists(self, name: str) -> bool:
+        return self.spark.catalog.tableExists(name)
+
+    def rename(self, old: str, new: str) -> None:
+        self.spark.sql(f"ALTER TABLE {old} RENAME TO {new}")
+
+    def drop(self, name: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+class _Folders:
+    """Folders of the file system that the path names."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.path = spark._jvm.org.apache.hadoop.fs.Path
+        self.conf = spark._jsc.hadoopConfiguration()
+
+    def _at(self, name: str):
+        path = self.path(name)
+        return path.getFileSystem(self.conf), path
+
+    def exists(self, name: str) -> bool:
+        files, path = self._at(name)
+        return files.exists(path)
+
+    def rename(self, old: str, new: str) -> None:
+        files, path = self._at(old)
+        if not files.rename(path, self.path(new)):
+            raise OSError(f"{old} cannot be renamed to {new}")
+
+    def drop(self, name: str) -> None:
+        files, path = self._at(name)
+        files.delete(path, True)
 
 
 def write_payments_bucketed(payments: DataFrame, table: str, buckets: int) -> None:

@@ -185,6 +185,46 @@ def test_narrow_records(stored):
     assert counts.groupBy("key").count().where("count > 1").isEmpty()
 
 
+@pytest.fixture
+def keyed(make_payments):
+    """Keys on one row, on two and on many, blank and missing ones among them."""
+    return make_payments(
+        [
+            {"Payment_CustomerName": f"Name {min(i, 40)}", "EmailAddress": f"u{i // 2}@mail.com",
+             "RemoteIP": None if i % 5 == 0 else f"10.0.{i % 7}.{i}", "CustomerID": str(i % 3),
+             "PaymentSourceDesc": "IVR" if i else "Rare", "Partner": f"P{i}" if i < 3 else None}
+            for i in range(60)
+        ] + [{}]
+    )
+
+
+@pytest.mark.parametrize("words", [1, 64, 1 << 20])
+@pytest.mark.parametrize("hot_rows", [None, 10])
+def test_keys_of_one_row_need_no_look_up(keyed, make_ruca, monkeypatch, words, hot_rows):
+    """Equal to the families joined by id, whether the bitmap tells keys apart, is full or is left out."""
+    from payscope.plans import assemble
+
+    ruca = make_ruca([("90210", 1, 1.0, "CA")])
+    monkeypatch.setattr(assemble, "MARK_WORDS", words)
+    single = assemble_features(keyed, ruca, Options(hot_rows=hot_rows))
+    joined = assemble_features(keyed, ruca, mode="join")
+    assert Counter(map(tuple, single.collect())) == Counter(map(tuple, joined.collect()))
+
+
+def test_records_of_keys_of_one_row_are_not_sent(spark):
+    from payscope.plans.assemble import _only_repeated, repeated_marks
+
+    counts = spark.range(20_000).selectExpr("concat('k', id) AS key", "id % 10 = 0 AS twice")
+    marks = repeated_marks(counts.where("twice"))
+    records = counts.selectExpr("key", "twice", "'a' AS kind").unionByName(
+        counts.selectExpr("key", "twice", "'other' AS kind"))
+    sent = {(r.kind, r.twice): r["count"] for r in
+            _only_repeated(records, marks, ["a"]).groupBy("kind", "twice").count().collect()}
+    assert sent[("other", True)] == sent[("a", True)] == 2_000
+    assert sent[("other", False)] == 18_000 and sent.get(("a", False), 0) < 10
+    assert marks.count() <= 2_000
+
+
 def test_tables_are_read_with_checked_types(stored, spark):
     stored.limit(3).write.mode("overwrite").saveAsTable("typed_payments")
     assert read_payments(spark, table="typed_payments").count() == 3
@@ -239,6 +279,50 @@ def test_table_sink_replaces(stored, spark):
         write_features(features)
 
 
+@pytest.mark.parametrize("kind", ["table", "path"])
+def test_failed_write_keeps_the_old_rows(stored, spark, kind):
+    features = family_features(stored, "pricing")
+    at = {kind: "kept_features" if kind == "table" else scratch_path(spark, "kept")}
+    read = spark.table if kind == "table" else spark.read.parquet
+    name = at[kind]
+    write_features(features.limit(5), **at)
+    # The task fails on one of the last rows, after files were begun.
+    broken = features.withColumn(
+        "pricing_model_other",
+        F.when(F.rand(1) < 0.01, F.raise_error(F.lit("no more"))).otherwise(1),
+    )
+    with pytest.raises(Exception, match="no more"):
+        write_features(broken, **at)
+    assert read(name).count() == 5
+    # The new rows may be made of those they replace.
+    write_features(read(name).limit(4), **at)
+    assert read(name).count() == 4
+    # A run that died between the renames: the old rows are put back, then replaced.
+    if kind == "table":
+        spark.sql(f"ALTER TABLE {name} RENAME TO {name}__previous")
+    else:
+        import os
+
+        os.rename(name.removeprefix("file:"), name.removeprefix("file:") + "__previous")
+    with pytest.raises(Exception, match="no more"):
+        write_features(broken, **at)
+    assert read(name).count() == 4
+    write_features(features.limit(2), **at)
+    assert read(name).count() == 2
+    if kind == "table":
+        left = [t.name for t in spark.catalog.listTables() if t.name.startswith(name)]
+        assert left == [name]
+
+
+@pytest.mark.parametrize("at", ["kept", "`kept`", "default.kept", "default.`kept`"])
+def test_staged_names(spark, at):
+    rows = spark.range(3).withColumn(ID, F.col("id").cast("string")).drop("id")
+    for n in (3, 2):
+        write_features(rows.limit(n), table=at, buckets=2)
+    assert spark.table(at).count() == 2
+    spark.sql(f"DROP TABLE {at}")
+
+
 def test_more_rows_never_lower_a_frequency(skewed, make_payments):
     before = {r[ID]: r.ip_frequency for r in family_features(skewed, "ip").collect()}
     more = skewed.unionByName(make_payments([{ID: "extra", "RemoteIP": "10.0.0.1"}]))
