@@ -1,8 +1,8 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney model of character n-grams.
 
-The model of a language is trained on its trusted text: documents labelled good and not toxic, at most
-``max_trusted`` of them, taken by a hash of the id. Counts, continuation counts, discounts and
-back-off weights are joins and aggregations of (language, n-gram) rows.
+The model of a language is trained on its trusted text: all documents labelled good and not toxic, but for the
+half of them (by a hash of the id) that with all toxic ones sets the threshold. Counts, continuation counts,
+discounts and back-off weights are joins and aggregations of (language, n-gram) rows.
 
 Scoring runs over all documents. Each task of the scan asks for the distinct n-grams of its documents
 (a *block*); the requests meet the counts in joins sharded by n-gram; the answers come back by block
@@ -30,7 +30,6 @@ from payscope.llm.common import released, slices, stored, tasks
 
 ORDER, BITS = 4, 16
 SLICE_BYTES = 1 << 20
-MAX_TRUSTED = 40_000
 # A language's threshold is one of these quantiles of its held-out trusted documents: by the share of its
 # held-out toxic documents that it rejects, less that of the trusted ones, the highest within one standard
 # error of the best; without toxic documents, QUANTILE.
@@ -268,25 +267,33 @@ def answer(needed: DataFrame, model: list[DataFrame]) -> DataFrame:
     return rows.select("lang", "gram", F.log(p).cast("float").alias("log_p"))
 
 
-def trusted_ids(labels: DataFrame, max_trusted: int) -> DataFrame:
-    """At most ``max_trusted`` ids of documents all of whose labels are good and not toxic."""
-    return _taken(_judged(labels).where("q = 1 AND t = 0"), max_trusted, "trusted")
-
-
-def toxic_ids(labels: DataFrame, max_toxic: int) -> DataFrame:
-    """At most ``max_toxic`` ids of documents that a label calls toxic."""
-    return _taken(_judged(labels).where("t = 1"), max_toxic, "toxic")
-
-
 def _judged(labels: DataFrame) -> DataFrame:
     return labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
         F.min(F.coalesce("quality", F.lit(0))).alias("q"), F.max(F.coalesce("toxic", F.lit(0))).alias("t")
     )
 
 
-def _taken(ids: DataFrame, limit: int, name: str) -> DataFrame:
-    order = F.xxhash64("doc_id")
-    return stored(ids.select("doc_id").orderBy(order, "doc_id").limit(limit), name)
+def label_bits(labels: DataFrame) -> DataFrame:
+    """One row for 64 neighbouring ids, __word, with a bit for each trusted one (all its labels are good and
+    not toxic) and for each toxic one (a label says so); words without either are left out."""
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), _place("doc_id"))
+    kinds = {"__trusted_bits": "q = 1 AND t = 0", "__toxic_bits": "t = 1"}
+    bits = [F.coalesce(F.bit_or(F.when(F.expr(rule), one)), F.lit(0).cast("long")).alias(c) for c, rule in kinds.items()]
+    rows = _judged(labels).where(" OR ".join(f"({rule})" for rule in kinds.values()))
+    return stored(rows.groupBy(_word("doc_id").alias("__word")).agg(*bits), "label-bits")
+
+
+def _word(id_col: str) -> Column:
+    return F.shiftright(F.col(f"`{id_col}`").cast("long"), 6)
+
+
+def _place(id_col: str) -> Column:
+    return F.col(f"`{id_col}`").cast("long").bitwiseAND(F.lit(63).cast("long")).cast("int")
+
+
+def _has(bits: str, id_col: str) -> Column:
+    bit = F.call_function("shiftrightunsigned", F.col(bits), _place(id_col)).bitwiseAND(F.lit(1).cast("long")) == 1
+    return F.coalesce(bit, F.lit(False))
 
 
 def score(docs: DataFrame, model: list[DataFrame]) -> DataFrame:
@@ -346,9 +353,9 @@ def thresholds(unseen: DataFrame, quantiles: tuple[float, ...], quantile: float,
 
 
 def classify(
-    docs: DataFrame, labels: DataFrame, max_trusted: int = MAX_TRUSTED,
-    quantiles: tuple[float, ...] = QUANTILES, quantile: float = QUANTILE, prior_chars: int = PRIOR_CHARS,
-    id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+    docs: DataFrame, labels: DataFrame, quantiles: tuple[float, ...] = QUANTILES,
+    quantile: float = QUANTILE, prior_chars: int = PRIOR_CHARS, id_col: str = "doc_id",
+    text_col: str = "text", lang_col: str = "lang",
 ) -> DataFrame:
     """Every row and column of ``docs`` with __log_perplexity (per character), __threshold, __trusted
     and __rejected.
@@ -359,32 +366,31 @@ def classify(
     """
     first = [text_col, lang_col]
     docs = docs.select(*[f"`{c}`" for c in (*first, *(c for c in docs.columns if c not in first))])
-    trusted = trusted_ids(labels, max_trusted).select(F.col("doc_id").alias("__trusted_id"))
-    toxic = toxic_ids(labels, max_trusted).select(F.col("doc_id").alias("__trusted_id"))
-    is_trusted = F.col(f"`{id_col}`") == F.col("__trusted_id")
-    # At most twice ``max_trusted`` rows, so the ids may be broadcast.
-    ids = trusted.withColumn("__toxic", F.lit(False)).unionByName(toxic.withColumn("__toxic", F.lit(True)))
+    # A row for 64 ids: Spark broadcasts these while they are few, and else shuffles the rows by them.
+    marks = label_bits(labels)
+    known = docs.where(F.col(f"`{id_col}`").isNotNull()).join(marks, _word(id_col) == F.col("__word"))
     held = stored(
-        docs.join(F.broadcast(ids), is_trusted).select(
-            f"`{text_col}`", f"`{lang_col}`", "__toxic",
-            (~F.col("__toxic") & (F.xxhash64(f"`{id_col}`") % 2 == 0)).alias("__trains"),
+        known.where(_has("__trusted_bits", id_col) | _has("__toxic_bits", id_col)).select(
+            f"`{text_col}`", f"`{lang_col}`", _has("__toxic_bits", id_col).alias("__toxic"),
+            (_has("__trusted_bits", id_col) & (F.xxhash64(f"`{id_col}`") % 2 == 0)).alias("__trains"),
         ),
         "trusted-text",
     )
     # One half of the trusted trains; the other and the toxic, which the model has not seen, set the thresholds.
     counts = held.where("__trains").drop("__trains", "__toxic").withColumn(BLOCK, F.lit(0)).mapInArrow(_tally, f"{BLOCK} int, lang string, gram long, n long")
     model = train(stored(counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "gram-counts"))
-    unseen = stored(held.where("NOT __trains").drop("__trains"), "unseen-text")
+    unseen = held.where("NOT __trains").drop("__trains")
     lang = F.coalesce(f"`{lang_col}`", F.lit(""))
     limits = thresholds(score(unseen, model).withColumn("__lang", lang), quantiles, quantile, prior_chars)
-    known = trusted.withColumn("__trusted", F.lit(True))
+    # Rows without an id meet no label; their keys are spread out.
+    key = F.coalesce(_word(id_col), F.xxhash64(LOG_P, CHARS))
     return (
         score(docs, model)
         .join(F.broadcast(limits), lang == F.col("__lang"), "left")
-        .join(F.broadcast(known), is_trusted, "left")
+        .join(marks.drop("__toxic_bits"), key == F.col("__word"), "left")
         .withColumns({
-            "__trusted": F.coalesce("__trusted", F.lit(False)),
+            "__trusted": _has("__trusted_bits", id_col),
             "__rejected": F.coalesce(_shrunk("__middle", prior_chars) > F.col("__threshold"), F.lit(False)),
         })
-        .drop("__lang", "__middle", "__trusted_id", CHARS)
+        .drop("__lang", "__middle", "__word", "__trusted_bits", CHARS)
     )

@@ -130,6 +130,22 @@ def test_every_character_counts_as_itself(spark, make_docs):
     assert sum(r["__rejected"] for r in found) < 60 + 0.1 * 540
 
 
+def test_every_label_is_used(spark, make_docs):
+    """All 45,000 trusted documents are, also those of a language with few of them, and all toxic ones set thresholds."""
+    docs = [(i, f"good text {i % 7}", "en" if i % 1000 else "rare", "s") for i in range(45_000)]
+    labels = spark.range(45_000).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    found = Q.classify(make_docs(docs), labels)
+    counts = found.groupBy("lang").agg(F.count_if("__trusted").alias("n"), F.count("__threshold").alias("judged"))
+    assert {(r.lang, r.n, r.judged) for r in counts.collect()} == {("en", 44_955, 44_955), ("rare", 45, 45)}
+    odd = [(-1, 1, 0), (-65, 0, 1), (63, 1, 0), (64, 0, 1), (64, 1, 0), (5, 0, 0), (2**63 - 1, 1, 0), (None, 1, 0)]
+    bits = Q.label_bits(spark.createDataFrame(odd, "doc_id long, quality int, toxic int")).collect()
+    found = {(r["__word"], kind): r[kind] & (2**64 - 1) for r in bits for kind in ("__trusted_bits", "__toxic_bits") if r[kind]}
+    assert found == {
+        (-1, "__trusted_bits"): 1 << 63, (-2, "__toxic_bits"): 1 << 63, (0, "__trusted_bits"): 1 << 63,
+        (1, "__toxic_bits"): 1, ((2**63 - 1) >> 6, "__trusted_bits"): 1 << 63,
+    }
+
+
 def test_quality_of_odd_rows(spark, docs, rows, no_docs):
     labels = spark.createDataFrame(
         [(r[0], 1, 0) for r in rows[:50]] + [(None, 1, 0), (1001, None, None), (77_777, 1, 0)], "doc_id long, quality int, toxic int"
