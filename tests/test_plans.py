@@ -177,6 +177,11 @@ def test_facts_are_scanned_four_times(stored, spark, sf_dir, no_broadcast):
         assert _fact_scans(plan_text(large, "formatted")) == 2
 
 
+def test_methods_too_large_for_the_jvm_are_not_run(spark):
+    """The JVM interprets methods of more than 8,000 bytes, so stages with such a one are run in parts."""
+    assert int(tune(spark).conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+
+
 def test_narrow_records(stored):
     """One record per payment, and one for each key that is not hot."""
     counts = key_counts(stored)
