@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from payscope import FAMILIES, Options, assemble_features, family_features, tune
+from payscope import fixed_values as V
+from payscope.functions.text import Matcher, spelled_out
 from payscope.operators import frequency
 from payscope.operators.families import top_k
 from payscope.operators.family import Family
@@ -182,6 +184,29 @@ def test_methods_too_large_for_the_jvm_are_not_run(spark):
     assert int(tune(spark).conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
 
 
+def test_keys_are_computed_before_they_are_taken_apart(stored, spark, sf_dir):
+    """What stands in a generator is interpreted where it is not part of a generated stage."""
+    for frame in (key_counts(stored), assemble_features(stored, derived.ruca(spark, sf_dir))):
+        generators = re.findall(r"Generate (inline\(.{0,12})", plan_text(frame, "simple"))
+        assert generators and all(re.match(r"inline\(__keys#", g) for g in generators), generators
+
+
+def test_bracket_classes_are_spelled_out(spark):
+    """Members one by one match what ranges do, for each character and in both match modes."""
+    patterns = [p for k, p in vars(V).items() if k.endswith("_PATTERN")]
+    chars = spark.range(0x300).selectExpr("decode(encode(chr(id), 'UTF-8'), 'UTF-8') AS c").unionByName(
+        spark.createDataFrame([("\u2028",), ("\u00df",), ("\u0130",), ("\U0001f600",), ("a\tb",), ("a\x0bb",), ("",)], "c string")
+    )
+    for pattern in patterns:
+        ours = spelled_out(pattern)
+        assert not re.search(r"\[[^\]]*(A-Z|a-z|0-9|\\s)", ours), ours
+        for form in ("{}", r"\A(?:{})\z"):
+            a, b = (F.col("c").rlike(form.format(p)) for p in (pattern, ours))
+            assert chars.where(a != b).isEmpty(), pattern
+    searched = Matcher().regex(F.col("c"), V.NAME_SPECIAL_PATTERN)
+    assert "A-Z" not in plan_text(chars.select(searched), "simple")
+
+
 def test_narrow_records(stored):
     """One record per payment, and one for each key that is not hot."""
     counts = key_counts(stored)
