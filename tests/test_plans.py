@@ -191,6 +191,27 @@ def test_keys_are_computed_before_they_are_taken_apart(stored, spark, sf_dir):
         assert generators and all(re.match(r"inline\(__keys#", g) for g in generators), generators
 
 
+def test_keys_are_computed_once(stored, spark, sf_dir):
+    """Spark filters what it takes apart by the size of the array, for which it computes all keys once more."""
+    for frame in (key_counts(stored), assemble_features(stored, derived.ruca(spark, sf_dir))):
+        assert "(size(" not in plan_text(frame, "extended").split("== Optimized Logical Plan ==")[1]
+
+
+def _nodes_with(node, column: str) -> list[str]:
+    """Names of the nodes of a logical plan that hand on the column by itself."""
+    output, children = node.output(), node.children()
+    here = [node.nodeName()] if column in {output.apply(i).name() for i in range(output.size())} else []
+    return here + [n for i in range(children.size()) for n in _nodes_with(children.apply(i), column)]
+
+
+@pytest.mark.parametrize("hot_rows", [None, 100])
+def test_full_rows_pass_few_steps(stored, spark, sf_dir, hot_rows):
+    """They meet the narrow records and the lookup; after that, finished columns are in one piece."""
+    features = assemble_features(stored, derived.ruca(spark, sf_dir), Options(hot_rows=hot_rows))
+    names = _nodes_with(features._jdf.queryExecution().optimizedPlan(), "LIC_INT_FIXED")
+    assert names.count("Join") == 2 and names.count("Project") <= 4, names
+
+
 def test_bracket_classes_are_spelled_out(spark):
     """Members one by one match what ranges do, for each character and in both match modes."""
     patterns = [p for k, p in vars(V).items() if k.endswith("_PATTERN")]
