@@ -39,9 +39,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     lost executors. Files are compressed with zstd to spare the shared folder."""
     path = scratch(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
+    collected(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def collected(spark: SparkSession) -> None:
+    """Has the driver collect its garbage: plans and task records of finished jobs fill its heap up to the limit
+    otherwise, and Spark keeps their shuffle files until their plans are collected."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def tasks(spark: SparkSession) -> int:
     """Shuffle partitions of the session."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -296,16 +296,20 @@ def _has(bits: str, id_col: str) -> Column:
     return F.coalesce(bit, F.lit(False))
 
 
-def score(docs: DataFrame, model: list[DataFrame]) -> DataFrame:
+def requested(docs: DataFrame) -> DataFrame:
+    """Rows (block, lang, gram): the distinct n-grams of each block of ``docs`` (text and language first)."""
+    docs = docs.withColumn(BLOCK, F.spark_partition_id())
+    return stored(docs.mapInArrow(_tally, f"{BLOCK} int, lang string, gram long, n long").drop("n"), "requests")
+
+
+def score(docs: DataFrame, requests: DataFrame, answers: DataFrame) -> DataFrame:
     """``docs`` (text and language first) with log perplexity per character and size.
 
-    The documents are read twice in the same partitions, so ``docs`` must be a stored table.
+    ``requests`` are those of ``docs``, ``answers`` those of the model to them and maybe to more. The documents are
+    read again in the partitions of the requests, so ``docs`` must be a stored table.
     """
     # The task of the scan, whatever is put around it.
     docs = docs.withColumn(BLOCK, F.spark_partition_id())
-    rows = f"{BLOCK} int, lang string, gram long"
-    requests = stored(docs.mapInArrow(_tally, f"{rows}, n long").drop("n"), "requests")
-    answers = stored(answer(requests.select("lang", "gram").distinct(), model), "answers")
     sent = docs.mapInArrow(_sent, f"{BLOCK} int, docs binary")
     none = {"lang": "string", "gram": "long", "log_p": "float"}
     both = requests.join(answers, ["lang", "gram"]).select(
@@ -381,11 +385,15 @@ def classify(
     model = train(stored(counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "gram-counts"))
     unseen = held.where("NOT __trains").drop("__trains")
     lang = F.coalesce(f"`{lang_col}`", F.lit(""))
-    limits = thresholds(score(unseen, model).withColumn("__lang", lang), quantiles, quantile, prior_chars)
+    # The n-grams of the documents that set the thresholds are among those of all, so the model is asked once.
+    requests = requested(docs)
+    answers = stored(answer(requests.select("lang", "gram").distinct(), model), "answers")
+    scored = score(unseen, requested(unseen), answers)
+    limits = thresholds(scored.withColumn("__lang", lang), quantiles, quantile, prior_chars)
     # Rows without an id meet no label; their keys are spread out.
     key = F.coalesce(_word(id_col), F.xxhash64(LOG_P, CHARS))
     return (
-        score(docs, model)
+        score(docs, requests, answers)
         .join(F.broadcast(limits), lang == F.col("__lang"), "left")
         .join(marks.drop("__toxic_bits"), key == F.col("__word"), "left")
         .withColumns({
