@@ -262,6 +262,28 @@ def test_keys_of_one_row_need_no_look_up(keyed, make_ruca, monkeypatch, words, h
     assert Counter(map(tuple, single.collect())) == Counter(map(tuple, joined.collect()))
 
 
+def test_keys_on_a_thousand_rows_send_no_records(make_payments, make_ruca, monkeypatch):
+    """Without a threshold of the caller's, and with the same features as the families joined by id."""
+    from payscope.plans import assemble
+
+    names = ["Often"] * 1_200 + ["Twice"] * 2 + ["Once"]
+    payments = make_payments([{"Payment_CustomerName": name, "RemoteIP": f"10.0.0.{i}"} for i, name in enumerate(names)])
+    ruca = make_ruca([("90210", 1, 1.0, "CA")])
+    sent, only_repeated = [], assemble._only_repeated
+
+    def seen(records, marks, kinds):
+        sent.append(records.where("kind = 'name'").count())
+        return only_repeated(records, marks, kinds)
+
+    monkeypatch.setattr(assemble, "_only_repeated", seen)
+    single = assemble_features(payments, ruca)
+    assert sent == [3]
+    columns = [c for c in single.columns if "name" in c.lower()]
+    joined = assemble_features(payments, ruca, mode="join")
+    rows = [Counter(map(tuple, f.select(columns).collect())) for f in (single, joined)]
+    assert rows[0] == rows[1]
+
+
 def test_records_of_keys_of_one_row_are_not_sent(spark):
     from payscope.plans.assemble import _only_repeated, repeated_marks
 
