@@ -212,6 +212,42 @@ def test_full_rows_pass_few_steps(stored, spark, sf_dir, hot_rows):
     assert names.count("Join") == 2 and names.count("Project") <= 4, names
 
 
+def _join_widths(node) -> list[int]:
+    """Numbers of columns that the joins above the master family hand on."""
+    output, children = node.output(), node.children()
+    names = {output.apply(i).name() for i in range(output.size())}
+    here = [output.size()] if node.nodeName() == "Join" and "__master" in names else []
+    return here + [n for i in range(children.size()) for n in _join_widths(children.apply(i))]
+
+
+@pytest.mark.parametrize("expose", [True, False])
+def test_families_pass_the_joins_in_one_piece(stored, spark, sf_dir, expose):
+    """The id and a column for each family, in eleven joins; the table is the one of 281 columns or one less."""
+    joined = assemble_features(stored, derived.ruca(spark, sf_dir), Options(expose_card_number=expose), "join")
+    widths = _join_widths(joined._jdf.queryExecution().optimizedPlan())
+    assert len(widths) == 11 and max(widths) <= 1 + 12 + 1, widths
+    single = assemble_features(stored, derived.ruca(spark, sf_dir), Options(expose_card_number=expose))
+    assert joined.dtypes == single.dtypes and len(joined.columns) == 280 + expose
+
+
+def test_families_of_repeated_ids_are_combined(make_payments, make_ruca):
+    """Both rows of an id meet both rows in each of the other families; geo has the one with a ZIP."""
+    payments = make_payments([
+        {ID: "A", "Partner": "Oracle", "RemoteIP": "10.0.0.1", "Zip": "90210"},
+        {ID: "A", "Partner": "SAP Cloud", "RemoteIP": "10.0.0.2"},
+        {ID: "B", "Partner": "Oracle", "RemoteIP": "10.0.0.1"},
+        {ID: "none", "Partner": "Oracle"},
+    ]).withColumn(ID, F.when(F.col(ID) != "none", F.col(ID)))
+    joined = assemble_features(payments, make_ruca([("90210", 1, 1.0, "CA")]), mode="join")
+    pick = joined.select(ID, "Partner", "ip_frequency", "distinct_partners_per_id", "RUCA1")
+    found = Counter(map(tuple, pick.collect()))
+    # Master, name, e-mail, address, card, channel, MCC, provider and price double what is told apart here.
+    assert found == {
+        **{("A", p, n, 2, 1): 2 ** 9 for p in ("Oracle", "SAP Cloud") for n in (2, 1)},
+        ("B", "Oracle", 2, 1, None): 1, (None, None, None, None, None): 1,
+    }
+
+
 def test_bracket_classes_are_spelled_out(spark):
     """Members one by one match what ranges do, for each character and in both match modes."""
     patterns = [p for k, p in vars(V).items() if k.endswith("_PATTERN")]
