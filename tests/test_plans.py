@@ -334,6 +334,23 @@ def test_records_of_keys_of_one_row_are_not_sent(spark):
     assert marks.count() <= 2_000
 
 
+def test_a_second_action_makes_no_records(spark, make_payments, make_ruca):
+    """It reads each payment once, for its full row; what the keys have met is there from the first one."""
+    rows = make_payments([{"RemoteIP": f"10.0.0.{i % 4}", "Partner": "Oracle"} for i in range(60)])
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(key):
+        seen.add(1)
+        return key
+
+    payments = rows.withColumn(ID, F.udf(counted, "string")(ID))
+    features = assemble_features(payments, make_ruca([("90210", 1, 1.0, "CA")]))
+    assert features.limit(1).count() == 1
+    before = seen.value
+    assert Counter(r.ip_frequency for r in features.select(ID, "ip_frequency").collect()) == {15: 60}
+    assert seen.value - before == 60
+
+
 def test_tables_are_read_with_checked_types(stored, spark):
     stored.limit(3).write.mode("overwrite").saveAsTable("typed_payments")
     assert read_payments(spark, table="typed_payments").count() == 3
