@@ -230,6 +230,16 @@ def test_families_pass_the_joins_in_one_piece(stored, spark, sf_dir, expose):
     assert joined.dtypes == single.dtypes and len(joined.columns) == 280 + expose
 
 
+def test_payments_without_id_pass_the_joins_in_one_piece(spark, sf_dir):
+    """They meet no family: the pieces of all but the first are NULL, and so is what is taken from them."""
+    payments = derived.payments(tune(spark), sf_dir, null_ids=True)
+    joined = assemble_features(payments, derived.ruca(spark, sf_dir), mode="join")
+    widths = _join_widths(joined._jdf.queryExecution().optimizedPlan())
+    assert len(widths) == 11 and max(widths) <= 1 + 12 + 1, widths
+    without = joined.where(F.col(ID).isNull()).select("TDNum", "email_frequency", "partner_category", "area_type")
+    assert sorted(map(tuple, without.collect())) == [(f"T{k}", None, None, None) for k in (4, 5, 6)]
+
+
 def test_families_of_repeated_ids_are_combined(make_payments, make_ruca):
     """Both rows of an id meet both rows in each of the other families; geo has the one with a ZIP."""
     payments = make_payments([
